@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.dedupe import distinct_keys
+from tidemark.operators.skew import key_join
 
 # Sync modes of the control table.
 PERIODIC_REFRESH = "periodic_refresh"
@@ -16,7 +16,7 @@ RELOAD_ALWAYS = "reload_always"
 
 def configured_only(df: DataFrame, config: DataFrame, name: str) -> DataFrame:
     """Rows whose table is in the config."""
-    return df.join(distinct_keys(config, [name]), name, "left_semi")
+    return key_join(df, config, [name], "left_semi")
 
 
 def control_modes(control: DataFrame, position: str) -> DataFrame:

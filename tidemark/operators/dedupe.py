@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-# A key reaches the reducer at most this often, however many rows carry it.
-KEY_COPIES = 64
+from tidemark.operators.skew import known
 
 
 def latest_per_key(
@@ -33,26 +32,14 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The non-null keys of `df`, a few copies of each at most, as the small side of a join.
-
-    Grouping by a second column leaves the rows unsuited to a join on `keys`, so that the join adds its
-    own shuffle. AQE splits skewed partitions of the other side only between two such shuffles.
-    """
-    known = df.select(*keys).dropna(how="any")
-    slot = F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES))
-    return known.withColumn("_slot", slot).distinct().select(*keys)
-
-
 class DuplicateKeys(ValueError):
     """Source rows that share a key which must be unique."""
 
 
 def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`df` itself, or DuplicateKeys with some of the offending keys. Runs one aggregate over the keys."""
-    repeated = (
-        df.select(*keys).dropna(how="any").groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
-    )
+    copies = df.select(*keys).filter(known(keys)).groupBy(*keys).agg(F.count("*").alias("copies"))
+    repeated = copies.filter("copies > 1")
     found = repeated.orderBy(F.desc("copies"), *keys).limit(20).collect()
     if found:
         raise DuplicateKeys(f"source keys {list(keys)} are not unique, for example {[tuple(r) for r in found]}")

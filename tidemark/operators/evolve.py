@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions import spark_type
 from tidemark.operators.columns import Field
+from tidemark.operators.skew import key_join
 
 
 def schema_diff(declared: DataFrame, actual: DataFrame, name: str = "column_name") -> DataFrame:
     """Declared field rows whose name the actual field rows lack."""
-    have = actual.select(F.lower(name).alias("_name")).distinct()
-    return declared.join(have, F.lower(declared[name]) == have["_name"], "left_anti")
+    names = [F.lower(name).alias("_name")]
+    missing = key_join(declared.select("*", *names), actual.select(*names), ["_name"], "left_anti")
+    return missing.drop("_name")
 
 
 def missing_fields(fields: Sequence[Field], schema: T.StructType) -> list[Field]:

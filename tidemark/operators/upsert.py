@@ -5,23 +5,28 @@ Null keys never match: such target rows stay and such source rows are inserted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.columns import align
-from tidemark.operators.dedupe import distinct_keys, latest_per_key, require_unique_keys
+from tidemark.operators.dedupe import latest_per_key, require_unique_keys
+from tidemark.operators.skew import key_join, known, spread
 
 # A broadcast hash table of this many key bytes stays far below any executor's memory.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
 
+def key_bytes(keys: Sequence[str]) -> Column:
+    """Aggregate: about how many bytes the keys of all rows take in a hash table."""
+    each = [F.coalesce(F.octet_length(F.col(f"`{k}`").cast("string")), F.lit(0)) + 16 for k in keys]
+    return F.coalesce(F.sum(reduce(lambda a, b: a + b, each).cast("bigint")), F.lit(0))
+
+
 def keys_fit_broadcast(source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_KEY_BYTES) -> bool:
     """Whether the keys of `source` are small enough to broadcast. Runs one aggregate; give it stored rows."""
-    width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 16 for k in keys), F.lit(0))
-    size = source.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"]
-    return (size or 0) <= limit
+    return source.agg(key_bytes(keys).alias("bytes")).first()["bytes"] <= limit
 
 
 def _check(target: DataFrame, source: DataFrame) -> None:
@@ -30,58 +35,57 @@ def _check(target: DataFrame, source: DataFrame) -> None:
         raise ValueError(f"the target lacks the columns {new}; add them first")
 
 
-def _key_side(source_keys: DataFrame, broadcast_keys: bool) -> DataFrame:
-    return F.broadcast(source_keys) if broadcast_keys else source_keys
-
-
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`df` with a second join column: 0 beside a known key, the input partition beside a null one.
-
-    Null keys match nothing, so they may go to any reducer; on the key alone they would all meet in one.
-    The wider join key also asks for a fresh shuffle of both sides, and only between two such shuffles
-    does AQE split the skewed partition of a hot key.
-    """
-    unknown = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
-    zero = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(1))
-    return df.withColumn("_spread", F.when(unknown, F.spark_partition_id()).otherwise(zero))
-
-
-def _left_join(target: DataFrame, rows: DataFrame, keys: Sequence[str], *payload: Column) -> DataFrame:
+def _join(target: DataFrame, rows: DataFrame, keys: Sequence[str], how: str, *payload: Column) -> DataFrame:
     """Each target row beside `payload` of the source row with its key."""
-    theirs = _spread(rows.dropna(how="any", subset=list(keys)), keys).select(
+    theirs = spread(rows, keys).select(
         *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_spread").alias("_at"), *payload
     )
-    ours = _spread(target, keys)
+    ours = spread(target, keys)
     same = [ours[k] == theirs[f"_key{i}"] for i, k in enumerate(keys)]
-    return ours.join(theirs, [*same, ours["_spread"] == theirs["_at"]], "left")
+    return ours.join(theirs, [*same, ours["_spread"] == theirs["_at"]], how)
 
 
-def _replace(target: DataFrame, rows: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    kept = target.join(source_keys, list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(align(rows, target.schema))
+def _choose(target: DataFrame, incoming: Mapping[str, Column], take: Column) -> list[Column]:
+    """The target's columns, with the incoming value where there is one and `take` holds."""
+    return [
+        F.when(take, incoming[f.name.lower()].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+        if f.name.lower() in incoming
+        else F.col(f"`{f.name}`")
+        for f in target.schema
+    ]
 
 
-def _merge(
-    target: DataFrame, rows: DataFrame, source_keys: DataFrame, keys: Sequence[str], newer_by: str | None
+def _replace(
+    target: DataFrame, rows: DataFrame, keys_from: DataFrame, keys: Sequence[str], broadcast_keys: bool
 ) -> DataFrame:
-    incoming = {c.lower(): c for c in rows.columns}
-    joined = _left_join(target, rows, keys, F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
+    """Target rows whose key the source lacks, and all source rows."""
+    kept = key_join(target, keys_from, keys, "left_anti", broadcast=broadcast_keys)
+    return kept.unionByName(align(rows, target.schema))
+
+
+def _merge(target: DataFrame, rows: DataFrame, keys: Sequence[str], newer_by: str | None, how: str) -> DataFrame:
+    """Target rows with the values of their source row; with a full join also the source rows without one."""
+    joined = _join(target, rows, keys, how, F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
+    incoming = {c.lower(): F.col(f"_row.`{c}`") for c in rows.columns}
     take = F.col("_row").isNotNull()
     if newer_by:
-        ours, new = F.col(f"`{newer_by}`"), F.col(f"_row.`{incoming[newer_by.lower()]}`")
+        ours, new = F.col(f"`{newer_by}`"), incoming[newer_by.lower()]
         take = take & (ours.isNull() | (new >= ours))
-    updated = joined.select(
-        *[
-            F.when(take, F.col(f"_row.`{incoming[f.name.lower()]}`").cast(f.dataType))
-            .otherwise(F.col(f"`{f.name}`"))
-            .alias(f.name)
-            if f.name.lower() in incoming
-            else F.col(f"`{f.name}`")
-            for f in target.schema
-        ]
-    )
-    matched = target.select(*keys).join(source_keys, list(keys), "left_semi")
-    added = rows.join(distinct_keys(matched, keys), list(keys), "left_anti")
+    return joined.select(*_choose(target, incoming, take))
+
+
+def _merge_and_add(
+    target: DataFrame,
+    rows: DataFrame,
+    keys_from: DataFrame,
+    keys: Sequence[str],
+    newer_by: str | None,
+    broadcast_keys: bool,
+) -> DataFrame:
+    """The same as a full join in two parts, which may broadcast the source and split a hot target key."""
+    updated = _merge(target, rows, keys, newer_by, "left")
+    matched = key_join(target.select(*keys), keys_from, keys, "left_semi", broadcast=broadcast_keys)
+    added = key_join(rows, matched, keys, "left_anti")
     return updated.unionByName(align(added, target.schema))
 
 
@@ -100,17 +104,20 @@ def upsert(
     A source with all columns of a target with unique keys replaces whole rows: target rows whose key is
     in the source go (one anti join on the keys), all source rows come in. Otherwise the source row is
     joined to each target row, so that columns only the target has keep their values. `only_if_newer`
-    names a date column: an older source row then leaves its target row alone.
+    names a date column: an older source row then leaves its target row alone. Where target keys may
+    repeat, every target row of a key is updated.
     `keys_from` is a cheaper frame with the same keys, such as the stored rows that `source` was reduced from.
     `broadcast_keys` is for callers that have checked the size (`keys_fit_broadcast`); the target is then
     not shuffled at all.
     """
     _check(target, source)
-    source_keys = _key_side(distinct_keys(source if keys_from is None else keys_from, keys), broadcast_keys)
+    keys_from = source if keys_from is None else keys_from
     covers = set(map(str.lower, target.columns)) <= set(map(str.lower, source.columns))
     if covers and target_keys_unique and not only_if_newer:
-        return _replace(target, source, source_keys, keys)
-    return _merge(target, source, source_keys, keys, only_if_newer)
+        return _replace(target, source, keys_from, keys, broadcast_keys)
+    if target_keys_unique and not broadcast_keys:
+        return _merge(target, source, keys, only_if_newer, "full")
+    return _merge_and_add(target, source, keys_from, keys, only_if_newer, broadcast_keys)
 
 
 def upsert_latest(
@@ -154,19 +161,11 @@ def fill_columns(
     Unmatched target rows keep what they have. Nothing is inserted.
     """
     wanted = list(dict.fromkeys([*keys, *([date_col] if date_col else []), *(ties or []), *columns]))
-    known = source.select(*wanted).dropna(how="any", subset=list(keys))
-    rows = latest_per_key(known, keys, date_col, ties) if date_col else known
-    joined = _left_join(
-        target, rows, keys, *[F.col(f"`{c}`").alias(f"_new{i}") for i, c in enumerate(columns)], F.lit(True).alias("_hit")
-    )
-    place = {c.lower(): i for i, c in enumerate(columns)}
-    return joined.select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_new{place[f.name.lower()]}").cast(f.dataType))
-            .otherwise(F.col(f"`{f.name}`"))
-            .alias(f.name)
-            if f.name.lower() in place
-            else F.col(f"`{f.name}`")
-            for f in target.schema
-        ]
+    rows = source.select(*wanted).filter(known(keys))
+    if date_col:
+        rows = latest_per_key(rows, keys, date_col, ties)
+    joined = _join(
+        target, rows, keys, "left", *[F.col(f"`{c}`").alias(f"_new{i}") for i, c in enumerate(columns)], F.lit(True).alias("_hit")
     )
+    incoming = {c.lower(): F.col(f"_new{i}") for i, c in enumerate(columns)}
+    return joined.select(*_choose(target, incoming, F.col("_hit")))

@@ -21,11 +21,14 @@ from tidemark.operators.control import (
 from tidemark.operators.dedupe import drop_exact_duplicates, latest_per_key, require_unique_keys
 from tidemark.operators.evolve import add_columns, missing_fields
 from tidemark.operators.ranges import CHUNK_RANGE, LOOKBACK_DAYS, PAGE_ROWS, chunk_of, recent_window
-from tidemark.operators.upsert import fill_columns, keys_fit_broadcast, upsert
+from tidemark.operators.skew import known
+from tidemark.operators.upsert import BROADCAST_KEY_BYTES, fill_columns, key_bytes, upsert
 from tidemark.plans.config import TableConfig
 from tidemark.plans.store import (
+    CHUNK,
     Layout,
     create_target,
+    gather_chunks,
     layout_of,
     publish,
     publish_chunks,
@@ -48,7 +51,6 @@ class Result:
     table: str
     action: str
     uploaded: int = 0
-    failed: int = 0
     new_columns: tuple[str, ...] = ()
     error: str | None = None
 
@@ -144,32 +146,37 @@ def audit_staged(config: TableConfig, staged: DataFrame) -> DataFrame:
 
 def merge_staged(
     run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False
-) -> tuple[int, int]:
-    """Upsert a staging table into its target; rows uploaded and failed. Raises before any change if a batch failed."""
-    total = audit_total(audit_staged(config, staged)).first()
-    if not total["succeeded"]:
-        raise LoadFailed(f"{config.table}: {total['failed']} rows in failed batches")
-    if not total["uploaded"]:
-        return 0, 0
+) -> int:
+    """Upsert a staging table into its target; the number of staged rows. Raises before any change if a row is bad."""
     spark, name, keys = run.spark, run.target(config), list(config.keys)
+    facts = staged.agg(
+        F.count("*").alias("n"), F.count_if(F.col(BAD_CELLS) > 0).alias("bad"), key_bytes(keys).alias("key_bytes")
+    ).first()
+    if facts["bad"]:
+        total = audit_total(audit_staged(config, staged)).first()
+        raise LoadFailed(f"{config.table}: {facts['bad']} unreadable rows, {total['failed']} in their batches")
+    if not facts["n"]:
+        return 0
+    small = facts["key_bytes"] <= BROADCAST_KEY_BYTES
     staged_rows = staged.drop(BAD_CELLS)
     if config.reduce:
         rows = latest_per_key(staged_rows, keys, config.date_col)
     else:
         rows = require_unique_keys(drop_exact_duplicates(staged_rows), keys)
-    options = {
-        "only_if_newer": config.date_col if only_if_newer else None,
-        "keys_from": staged,
-        "broadcast_keys": keys_fit_broadcast(staged, keys),
-    }
+    newer_by = config.date_col if only_if_newer else None
+    options = {"only_if_newer": newer_by, "keys_from": staged, "broadcast_keys": small}
     layout = layout_of(spark, name)
     if layout is None:
         update_target(upsert(read_target(spark, name), rows, keys, **options), name)
-    else:
-        chunks = touched_chunks(staged, layout)
-        merged = upsert(read_chunks(spark, name, chunks), rows, keys, **options)
-        publish_chunks(spark, name, write_version(merged, name), chunks)
-    return total["uploaded"], total["failed"]
+        return facts["n"]
+    chunks = touched_chunks(staged, layout)
+    # With broadcast keys the target's rows stay in the tasks that read them, a partition or few in each.
+    gathered = small and not newer_by
+    if gathered:
+        rows = gather_chunks(rows, layout).drop(CHUNK)
+    merged = upsert(read_chunks(spark, name, chunks), rows, keys, **options)
+    publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks)
+    return facts["n"]
 
 
 def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
@@ -178,9 +185,9 @@ def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: Data
     filled = backfill(run, config, fields, source)
     recent = recent_window(_clean(run, source, fields), config.date_col, run.as_of, run.lookback_days)
     staged = _stage(run, run.staged(config), recent)
-    uploaded, failed = merge_staged(run, config, staged)
+    uploaded = merge_staged(run, config, staged)
     drop(run.spark, run.staged(config))
-    return Result(config.table, "refresh", uploaded, failed, filled.new_columns)
+    return Result(config.table, "refresh", uploaded, filled.new_columns)
 
 
 def full_load(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
@@ -210,8 +217,8 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
         return Result(config.table, "backfill")
     names = [f.name for f in new]
     wanted = {*keys, config.date_col, *names}
-    known = conform(source, [f for f in fields if f.name in wanted], count_bad=True).dropna(how="any", subset=keys)
-    rows = latest_per_key(known, keys, config.date_col) if config.reduce else drop_exact_duplicates(known)
+    rows = conform(source, [f for f in fields if f.name in wanted], count_bad=True).filter(known(keys))
+    rows = latest_per_key(rows, keys, config.date_col) if config.reduce else drop_exact_duplicates(rows)
     staged = _stage(run, run.staged(config), rows)
     bad = staged.agg(F.count_if(F.col(BAD_CELLS) > 0).alias("bad")).first()["bad"]
     if bad:

@@ -387,6 +387,10 @@ _DATE_TEXT = """CASE l_linenumber WHEN 1 THEN strftime(l_shipdate, '%m/%d/%Y') W
     ELSE NULL END"""
 
 
+def _line_text(spark: SparkSession, sf: str, text: Column) -> DataFrame:
+    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("text"))
+
+
 def _variants(*texts: Column) -> Column:
     """The n-th text on lines numbered n, null on the rest."""
     number = F.col("l_linenumber")
@@ -396,6 +400,10 @@ def _variants(*texts: Column) -> Column:
     return chosen
 
 
+def _cleaned_lines(lines: DataFrame, cleaner: Callable[[Column], Column]) -> DataFrame:
+    return lines.select("l_orderkey", "l_linenumber", cleaner(F.col("text")).alias("cleaned"))
+
+
 @query(
     f"SELECT l_orderkey, l_linenumber, CAST(try_strptime({_DATE_TEXT}, '%m/%d/%Y') AS DATE) AS cleaned FROM lineitem"
 )
@@ -409,7 +417,7 @@ def clean_date_text(spark, sf):
         F.lit("soon"),
         F.lit(""),
     )
-    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", clean_date(text).alias("cleaned"))
+    return _cleaned_lines(_line_text(spark, sf, text), clean_date)
 
 
 @query(
@@ -423,7 +431,7 @@ def clean_boolean_text(spark, sf):
     text = _variants(
         F.when(big, "T").otherwise("F"), F.when(big, "F").otherwise("T"), F.lit("true"), F.lit("false"), F.lit("x")
     )
-    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", clean_boolean(text).alias("cleaned"))
+    return _cleaned_lines(_line_text(spark, sf, text), clean_boolean)
 
 
 @query(
@@ -441,7 +449,7 @@ def clean_timestamp_text(spark, sf):
         F.date_format(day, "MM/dd/yyyy"),
         F.lit("later"),
     )
-    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", clean_timestamp(text).alias("cleaned"))
+    return _cleaned_lines(_line_text(spark, sf, text), clean_timestamp)
 
 
 @query(
@@ -454,7 +462,7 @@ def clean_timestamp_text(spark, sf):
 def clean_integer_text(spark, sf):
     part = F.col("l_partkey").cast("string")
     text = _variants(part, F.concat(F.lit("-"), part), F.concat(F.lit("x"), part), F.lit(""))
-    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", clean_integer(text).alias("cleaned"))
+    return _cleaned_lines(_line_text(spark, sf, text), clean_integer)
 
 
 @query(
@@ -480,7 +488,8 @@ def normalize_types(spark, sf):
         F.lit("boolean"),
         F.lit(""),
     )
-    declared = _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", normalized_type(text).alias("declared"))
+    lines = _line_text(spark, sf, text)
+    declared = lines.select("l_orderkey", "l_linenumber", normalized_type(F.col("text")).alias("declared"))
     return declared.filter("declared IS NOT NULL").withColumn("stored", storage_type(F.col("declared")))
 
 

@@ -59,31 +59,37 @@ def create_target(
 
 
 def _create(spark, name, schema, root, layout, path) -> None:
-    columns = schema if layout is None else T.StructType([*schema.fields, T.StructField(CHUNK, T.LongType())])
-    writer = spark.createDataFrame([], columns).write.format("parquet").option("path", path)
-    (writer.partitionBy(CHUNK) if layout else writer).mode("append").saveAsTable(name)
+    """Register a table over `path` without touching what is there."""
+    columns = [*schema.fields, *([T.StructField(CHUNK, T.LongType())] if layout else [])]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     properties = {_ROOT: root} | ({_KEY: layout.key, _RANGE: str(layout.range)} if layout else {})
     pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+    partitions = f"PARTITIONED BY ({CHUNK})" if layout else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {partitions} LOCATION '{path}' TBLPROPERTIES ({pairs})")
 
 
 def read_target(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).drop(CHUNK)
 
 
-def write_version(df: DataFrame, name: str) -> str:
+def gather_chunks(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows of a partition together: AQE joins small partitions in a task and splits a large one over several."""
+    return df.withColumn(CHUNK, layout.chunk()).hint("rebalance", CHUNK)
+
+
+def write_version(df: DataFrame, name: str, *, gathered: bool = False) -> str:
     """Write `df` as a version of the target without showing it to readers; the folder written.
 
-    With a layout, rows are rebalanced by partition: AQE joins small ones and splits a large one over
-    several tasks, so that a partition has few files and a hot one does not meet in one task.
+    With a layout, rows are gathered by partition, so that a partition has few files and a hot one does
+    not meet in one task. `gathered` says that each task of `df` already holds few partitions.
     """
     spark = df.sparkSession
     path, layout = _new_version(spark, name), layout_of(spark, name)
     if layout is None:
         df.write.parquet(path)
     else:
-        placed = df.withColumn(CHUNK, layout.chunk())
-        placed.hint("rebalance", CHUNK).write.partitionBy(CHUNK).parquet(path)
+        placed = df.withColumn(CHUNK, layout.chunk()) if gathered else gather_chunks(df, layout)
+        placed.write.partitionBy(CHUNK).parquet(path)
     return path
 
 

@@ -14,10 +14,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | Sequence
     if spark.catalog.tableExists(name):
         return
     struct = schema if isinstance(schema, T.StructType) else declared_schema(schema)
-    writer = spark.createDataFrame([], struct).write.format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    spark.catalog.createTable(name, path=path, source="parquet", schema=struct)
 
 
 def clone_table(spark: SparkSession, name: str, like: str, path: str | None = None) -> None:
