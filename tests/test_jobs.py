@@ -126,6 +126,21 @@ def test_new_column_is_backfilled_and_nothing_else(spark, run, layout):
     assert jobs.backfill(later(run), config, FIELDS, now).new_columns == ()
 
 
+def test_date_column_may_be_undeclared(spark, run, tmp_path):
+    few = fields_of("id INTEGER\nname STRING\nupdated_at DATETIME")
+    jobs.full_load(run, CONFIG, few, landed(spark, *OLD))
+    source = landed(spark, ("1", "ONE", "1/5/2024", "T"), ("2", "old", "3/8/2024", "T"), ("2", "TWO", "3/9/2024", "T"))
+    assert jobs.refresh(later(run), CONFIG, few, source).uploaded == 2
+    assert {k: v[0] for k, v in target(run).items()} == {1: "one", 2: "TWO", 3: "three"}
+    jobs.backfill(later(run), CONFIG, [*few, *fields_of("active BOOLEAN")], source)
+    assert store.read_target(spark, run.target(CONFIG)).columns == ["id", "name", "updated_at", "active"]
+    with pytest.raises(ValueError, match="changed"):
+        jobs.refresh(later(run), CONFIG, few, source.drop("changed"))
+    land(spark, tmp_path / "in", ("3", "THREE", "3/9/2024", "T"))
+    stream_refresh(run, CONFIG, few, str(tmp_path / "in"), str(tmp_path / "marks")).awaitTermination()
+    assert target(run)[3][0] == "THREE"
+
+
 def test_refresh_with_a_new_column_does_both(spark, run):
     jobs.full_load(run, CONFIG, [f for f in FIELDS if f.name != "active"], landed(spark, *OLD))
     source = landed(spark, ("1", "ONE", "1/5/2024", "T"), ("2", "TWO", "3/9/2024", "T"))

@@ -226,3 +226,19 @@ def test_table_configs():
     assert TABLE_CONFIGS["Quota"].keys == ("id", "date") and not TABLE_CONFIGS["Quota"].reduce
     assert TABLE_CONFIGS["invoiceSalesTeam"].chunk_key == "transaction"
     assert TABLE_CONFIGS["transactionLine"].chunk_key == "uniquekey"
+
+
+def test_declared_tables(spark):
+    from tidemark.plans.declared import DECLARED
+
+    sizes = {name: len(fields) for name, fields in DECLARED.items()}
+    assert sizes == {"Account": 30, "transactionLine": 75, "invoiceSalesTeam": 6, "transactionSalesTeam": 6}
+    lines = DECLARED["transactionLine"]
+    raw = spark.createDataFrame([("1", "2", "1/5/2024", "T", "1.50")], "id string, uniquekey string, linelastmodifieddate string, mainline string, netamount string")
+    row = columns.conform(raw, lines, count_bad=True).first()
+    assert (row["uniquekey"], row["linelastmodifieddate"], row["mainline"], row["netamount"]) == (2, D(2024, 1, 5), True, 1.5)
+    assert row["memo"] is None and row["bad_cells"] == 0
+    for name, fields in DECLARED.items():
+        config = TABLE_CONFIGS[name]
+        declared = {f.name for f in fields}
+        assert {*config.keys, config.chunk_key} <= declared

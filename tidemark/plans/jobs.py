@@ -117,7 +117,17 @@ def new_fields(run: Run, config: TableConfig, fields: Sequence[Field]) -> list[F
     return [f for f in missing_fields(fields, stored) if f.name.lower() != STAMP]
 
 
-def _clean(run: Run, source: DataFrame, fields: Sequence[Field]) -> DataFrame:
+def read_fields(config: TableConfig, fields: Sequence[Field]) -> list[Field]:
+    """The declared fields and the date column, which selects rows even where it is not declared."""
+    dated = config.date_col.lower() in {f.name.lower() for f in fields}
+    return list(fields) if dated else [*fields, Field(config.date_col, "DATE")]
+
+
+def _clean(run: Run, source: DataFrame, fields: Sequence[Field], needed: Sequence[str] = ()) -> DataFrame:
+    """Conformed and stamped rows; the `needed` columns must be in the source."""
+    lacking = {n.lower() for n in needed} - {c.lower() for c in source.columns}
+    if lacking:
+        raise ValueError(f"the source lacks the columns {sorted(lacking)}")
     return stamp_load(conform(source, fields, count_bad=True), run.load_ts)
 
 
@@ -163,7 +173,9 @@ def merge_staged(
         rows = latest_per_key(staged_rows, keys, config.date_col)
     else:
         rows = require_unique_keys(drop_exact_duplicates(staged_rows), keys)
-    newer_by = config.date_col if only_if_newer else None
+    stored = {c.lower() for c in read_target(spark, name).columns}
+    rows = rows.select(*[c for c in rows.columns if c.lower() in stored])
+    newer_by = config.date_col if only_if_newer and config.date_col.lower() in stored else None
     options = {"only_if_newer": newer_by, "keys_from": staged, "broadcast_keys": small}
     layout = layout_of(spark, name)
     if layout is None:
@@ -183,8 +195,10 @@ def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: Data
     """Add and backfill newly declared columns, then upsert the rows changed in the recent window."""
     ensure_target(run, config, fields)
     filled = backfill(run, config, fields, source)
-    recent = recent_window(_clean(run, source, fields), config.date_col, run.as_of, run.lookback_days)
-    staged = _stage(run, run.staged(config), recent)
+    rows = _clean(run, source, read_fields(config, fields), [*config.keys, config.date_col])
+    staged = _stage(
+        run, run.staged(config), recent_window(rows, config.date_col, run.as_of, run.lookback_days)
+    )
     uploaded = merge_staged(run, config, staged)
     drop(run.spark, run.staged(config))
     return Result(config.table, "refresh", uploaded, filled.new_columns)
@@ -216,8 +230,9 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
     if not new:
         return Result(config.table, "backfill")
     names = [f.name for f in new]
-    wanted = {*keys, config.date_col, *names}
-    rows = conform(source, [f for f in fields if f.name in wanted], count_bad=True).filter(known(keys))
+    wanted = {c.lower() for c in (*keys, config.date_col, *names)}
+    read = [f for f in read_fields(config, fields) if f.name.lower() in wanted]
+    rows = _clean(run, source, read, [*keys, config.date_col]).drop(STAMP).filter(known(keys))
     rows = latest_per_key(rows, keys, config.date_col) if config.reduce else drop_exact_duplicates(rows)
     staged = _stage(run, run.staged(config), rows)
     bad = staged.agg(F.count_if(F.col(BAD_CELLS) > 0).alias("bad")).first()["bad"]

@@ -38,11 +38,12 @@ DAY = dt.date(2000, 1, 1)
 EVENTS_DAY = dt.date(2024, 1, 29)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return register
@@ -405,7 +406,8 @@ def _cleaned_lines(lines: DataFrame, cleaner: Callable[[Column], Column]) -> Dat
 
 
 @query(
-    f"SELECT l_orderkey, l_linenumber, CAST(try_strptime({_DATE_TEXT}, '%m/%d/%Y') AS DATE) AS cleaned FROM lineitem"
+    f"SELECT l_orderkey, l_linenumber, CAST(try_strptime({_DATE_TEXT}, '%m/%d/%Y') AS DATE) AS cleaned FROM lineitem",
+    name="clean_date",
 )
 def clean_date_text(spark, sf):
     day = F.col("l_shipdate")
@@ -424,7 +426,8 @@ def clean_date_text(spark, sf):
     """
     SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN l_quantity > 25 WHEN 2 THEN l_quantity <= 25
         WHEN 3 THEN TRUE WHEN 4 THEN FALSE END AS cleaned FROM lineitem
-    """
+    """,
+    name="clean_boolean",
 )
 def clean_boolean_text(spark, sf):
     big = F.col("l_quantity") > 25
@@ -438,7 +441,8 @@ def clean_boolean_text(spark, sf):
     """
     SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 2 THEN l_shipdate
         WHEN l_linenumber = 3 THEN l_shipdate + INTERVAL 11 HOUR + INTERVAL 5 SECOND END AS cleaned FROM lineitem
-    """
+    """,
+    name="clean_timestamp",
 )
 def clean_timestamp_text(spark, sf):
     day = F.col("l_shipdate")
@@ -457,7 +461,8 @@ def clean_timestamp_text(spark, sf):
     SELECT l_orderkey, l_linenumber, TRY_CAST(CASE l_linenumber WHEN 1 THEN CAST(l_partkey AS VARCHAR)
         WHEN 2 THEN '-' || CAST(l_partkey AS VARCHAR) WHEN 3 THEN 'x' || CAST(l_partkey AS VARCHAR)
         WHEN 4 THEN '' END AS BIGINT) AS cleaned FROM lineitem
-    """
+    """,
+    name="clean_integer",
 )
 def clean_integer_text(spark, sf):
     part = F.col("l_partkey").cast("string")

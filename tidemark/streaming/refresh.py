@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.columns import Field, conform, landed_schema, stamp_load
 from tidemark.plans.config import TableConfig
-from tidemark.plans.jobs import Run, ensure_target, merge_staged
+from tidemark.plans.jobs import Run, ensure_target, merge_staged, read_fields
 from tidemark.sources.pages import stream_pages
 from tidemark.sources.sinks import drop
 
@@ -39,8 +39,9 @@ def stream_refresh(
         merge_staged(run, config, run.spark.table(name), only_if_newer=only_if_newer)
         drop(run.spark, name)
 
-    rows = stream_pages(run.spark, landed, landed_schema(fields), files_per_batch)
-    cleaned = stamp_load(conform(rows, fields, count_bad=True), run.load_ts)
+    read = read_fields(config, fields)
+    rows = stream_pages(run.spark, landed, landed_schema(read), files_per_batch)
+    cleaned = stamp_load(conform(rows, read, count_bad=True), run.load_ts)
     return (
         cleaned.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
