@@ -128,6 +128,30 @@ def test_points_bounds_and_pages(spark):
     assert ranges.page(df.dropna(), ["k"], 2, rows=3).collect() == []
 
 
+@pytest.mark.parametrize("most_skipped", [0, 3, 1000])
+def test_pages_by_key_cover_the_table(spark, monkeypatch, most_skipped):
+    monkeypatch.setattr(ranges, "GRID", 100)
+    hot = [(i, 7) for i in range(30)] + [(-1, 8)] * 25
+    data = hot + [(i, i * i) for i in range(40)] + [(0, -5), (0, 10**15)]
+    df = spark.createDataFrame(data, "i int, k bigint")
+    got = []
+    for number in range(len(data) // 16 + 2):
+        found = [(r["i"], r["k"]) for r in ranges.page_by_key(df, "k", number, 16, most_skipped=most_skipped).collect()]
+        assert len(found) == min(16, max(0, len(data) - 16 * number))
+        assert not got or not found or min(k for _, k in found) >= max(k for _, k in got)
+        got += found
+    assert sorted(got) == sorted(data)
+
+
+def test_pages_by_key_of_odd_tables(spark):
+    nulls = spark.createDataFrame([(None,), (1,)], "k bigint")
+    with pytest.raises(ValueError, match="nulls"):
+        ranges.page_by_key(nulls, "k", 0)
+    assert ranges.page_by_key(nulls.filter("false"), "k", 3, 9, most_skipped=0).collect() == []
+    one = spark.createDataFrame([(1,)] * 20, "k bigint")
+    assert [ranges.page_by_key(one, "k", n, 8, most_skipped=2).count() for n in range(4)] == [8, 8, 4, 0]
+
+
 @pytest.mark.parametrize("keys,size", [([5], 10), ([0, 9, 10, 35], 10), ([-15, -1, 3], 7), ([2**62, 2**62 + 5], 3), ([], 4)])
 def test_chunks_cover_each_key_once(spark, keys, size):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")

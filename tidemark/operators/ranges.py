@@ -12,6 +12,10 @@ LOOKBACK_DAYS = 2
 CHUNK_RANGE = 100_000
 PAGE_ROWS = 1000
 
+# A page search counts rows in this many key chunks at a time, until a task can hold the rows to skip.
+GRID = 10_000
+MOST_SKIPPED = 100_000
+
 
 def recent_window(df: DataFrame, date_col: str, as_of: dt.date | Column, days: int = LOOKBACK_DAYS) -> DataFrame:
     """Rows changed since midnight `days` days before `as_of`. No upper bound; null dates go."""
@@ -48,10 +52,55 @@ def top_key(df: DataFrame, key: str, descending: bool = True) -> DataFrame:
 
 
 def page(df: DataFrame, order_by: list[str], number: int, rows: int = PAGE_ROWS) -> DataFrame:
-    """Page `number` (from 0) of the sorted table."""
+    """Page `number` (from 0) of the sorted table. Each task holds the rows up to the page's end: for early pages."""
     return df.orderBy(*order_by).offset(number * rows).limit(rows)
 
 
+def page_by_key(
+    df: DataFrame, key: str, number: int, rows: int = PAGE_ROWS, *, most_skipped: int = MOST_SKIPPED
+) -> DataFrame:
+    """Page `number` of the table sorted by an integer key without nulls, however far in.
+
+    Counts rows per key chunk (one row per chunk comes back, `GRID` at most) to find the chunk in which the
+    page begins, and again within that, until few rows are left to skip. Rows of one key are ordered by a
+    hash, so that a key with more rows than a task may hold is searched in the same way.
+    """
+    if not df.filter(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"{key} has nulls, which have no place in the order of pages")
+    hashed = df.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(*df.columns), 1))
+    return _slice(hashed, [key, "_hash"], number * rows, rows, most_skipped).drop("_hash")
+
+
+def _slice(df: DataFrame, order_by: list[str], skip: int, rows: int, most_skipped: int) -> DataFrame:
+    """Rows `skip` to `skip + rows` in the order of some integer columns."""
+    key = order_by[0]
+    low, high = _span(df, key)
+    until, held = high, None
+    while skip > most_skipped and high - low > 1:
+        width = -((low - high) // GRID)
+        chunk = chunk_of(F.col(key), F.lit(low), width)
+        counts = key_range(df, key, low, high).groupBy(chunk.alias("c")).agg(F.count("*").alias("n")).collect()
+        before, begin = 0, None
+        for c, n in sorted(counts):
+            if begin is None and before + n > skip:
+                begin, skipped, held = c, before, n
+            before += n
+            if before >= skip + rows:
+                until = min(until, low + (c + 1) * width)
+                break
+        if begin is None:
+            return df.limit(0)
+        low, high, skip = low + begin * width, min(high, low + (begin + 1) * width), skip - skipped
+    found = key_range(df, key, low, until)
+    if skip <= most_skipped:
+        return found.orderBy(*order_by).offset(skip).limit(rows)
+    first = found.filter(F.col(key) == low)
+    here = min(rows, max(0, (first.count() if held is None else held) - skip))
+    # Rows alike in every column are copies: any of them will do.
+    head = _slice(first, order_by[1:], skip, here, most_skipped) if order_by[1:] else first.limit(here)
+    return head.union(found.filter(F.col(key) > low).orderBy(*order_by).limit(rows - here))
+
+
 def chunk_of(key: Column, start, chunk_range: int = CHUNK_RANGE) -> Column:
     """Number of the half-open key chunk, counted from `start`. Integer division, exact for any key."""
     offset = key.cast("bigint") - start

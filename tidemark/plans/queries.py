@@ -122,6 +122,12 @@ def page_slice(spark, sf):
     return ranges.page(_read(spark, sf, "orders"), ["o_orderkey"], 2)
 
 
+@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET (SELECT COUNT(*) // 200 * 100 FROM orders)")
+def page_in_the_middle(spark, sf):
+    orders = _read(spark, sf, "orders")
+    return ranges.page_by_key(orders, "o_orderkey", orders.count() // 200, 100, most_skipped=100)
+
+
 @query("SELECT MIN(o_orderkey) AS min_key, MAX(o_orderkey) AS max_key FROM orders")
 def key_bounds(spark, sf):
     return ranges.key_bounds(_read(spark, sf, "orders"), "o_orderkey")
