@@ -77,6 +77,32 @@ def test_refresh_takes_the_recent_window(spark, run, layout):
     assert target(run, config) == expected
 
 
+def test_typed_source_is_filtered_in_the_scan(spark, run, tmp_path):
+    typed = spark.createDataFrame(
+        [(1, "a", dt.datetime(2024, 3, 7, 23, 59)), (2, "b", dt.datetime(2024, 3, 8)), (3, "c", None)],
+        "id bigint, name string, changed timestamp_ntz",
+    )
+    typed.write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    recent = jobs._recent(run, CONFIG, FIELDS, source)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(changed" in plan
+    jobs.refresh(run, CONFIG, FIELDS, source)
+    assert target(run) == {2: ("b", D(2024, 3, 8), None, 1)}
+
+
+def test_layout_needs_an_integer_key(spark, run):
+    config = TableConfig("named", ("name",), "changed", layout_range=10)
+    with pytest.raises(ValueError, match="integer"):
+        jobs.refresh(run, config, FIELDS, landed(spark, *OLD))
+
+
+def test_unreadable_keys_stop_a_backfill(spark, run):
+    jobs.full_load(run, CONFIG, [f for f in FIELDS if f.name != "active"], landed(spark, *OLD))
+    with pytest.raises(jobs.LoadFailed):
+        jobs.backfill(run, CONFIG, FIELDS, landed(spark, *OLD, ("#9", "nine", "3/9/2024", "T")))
+
+
 def test_refresh_into_a_new_target(spark, run):
     jobs.refresh(run, CONFIG, FIELDS, landed(spark, *OLD))
     assert set(target(run)) == {2, 3}

@@ -105,9 +105,12 @@ def target_schema(fields: Sequence[Field]) -> T.StructType:
 
 def ensure_target(run: Run, config: TableConfig, fields: Sequence[Field]) -> str:
     """The target's name; an empty target with the declared columns is created where there is none."""
-    layout = Layout(config.keys[0], config.layout_range) if config.layout_range else None
-    name = run.target(config)
-    create_target(run.spark, name, target_schema(fields), f"{run.root}/{config.table}", layout)
+    name, schema, layout = run.target(config), target_schema(fields), None
+    if config.layout_range:
+        layout = Layout(config.keys[0], config.layout_range)
+        if not isinstance(schema[layout.key].dataType, T.IntegralType):
+            raise ValueError(f"{config.table}: only an integer key has ranges, not {layout.key}")
+    create_target(run.spark, name, schema, f"{run.root}/{config.table}", layout)
     return name
 
 
@@ -131,6 +134,16 @@ def _clean(run: Run, source: DataFrame, fields: Sequence[Field], needed: Sequenc
     return stamp_load(conform(source, fields, count_bad=True), run.load_ts)
 
 
+def _recent(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> DataFrame:
+    """Clean rows of the recent window. A typed date column is tested in the source, where the filter reaches the scan."""
+    needed, read = [*config.keys, config.date_col], read_fields(config, fields)
+    window = (config.date_col, run.as_of, run.lookback_days)
+    kind = next((f.dataType for f in source.schema if f.name.lower() == config.date_col.lower()), None)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return _clean(run, recent_window(source, *window), read, needed)
+    return recent_window(_clean(run, source, read, needed), *window)
+
+
 def _stage(run: Run, name: str, rows: DataFrame) -> DataFrame:
     """Write a staging table and read it back: later steps start from stored rows."""
     drop(run.spark, name)
@@ -154,9 +167,7 @@ def audit_staged(config: TableConfig, staged: DataFrame) -> DataFrame:
     return load_audit(parts, "chunk_id", "batch_id", F.col(BAD_CELLS) == 0)
 
 
-def merge_staged(
-    run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False
-) -> int:
+def merge_staged(run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False) -> int:
     """Upsert a staging table into its target; the number of staged rows. Raises before any change if a row is bad."""
     spark, name, keys = run.spark, run.target(config), list(config.keys)
     facts = staged.agg(
@@ -195,10 +206,7 @@ def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: Data
     """Add and backfill newly declared columns, then upsert the rows changed in the recent window."""
     ensure_target(run, config, fields)
     filled = backfill(run, config, fields, source)
-    rows = _clean(run, source, read_fields(config, fields), [*config.keys, config.date_col])
-    staged = _stage(
-        run, run.staged(config), recent_window(rows, config.date_col, run.as_of, run.lookback_days)
-    )
+    staged = _stage(run, run.staged(config), _recent(run, config, fields, source))
     uploaded = merge_staged(run, config, staged)
     drop(run.spark, run.staged(config))
     return Result(config.table, "refresh", uploaded, filled.new_columns)
@@ -232,7 +240,8 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
     names = [f.name for f in new]
     wanted = {c.lower() for c in (*keys, config.date_col, *names)}
     read = [f for f in read_fields(config, fields) if f.name.lower() in wanted]
-    rows = _clean(run, source, read, [*keys, config.date_col]).drop(STAMP).filter(known(keys))
+    rows = _clean(run, source, read, [*keys, config.date_col]).drop(STAMP)
+    rows = rows.filter(known(keys) | (F.col(BAD_CELLS) > 0))
     rows = latest_per_key(rows, keys, config.date_col) if config.reduce else drop_exact_duplicates(rows)
     staged = _stage(run, run.staged(config), rows)
     bad = staged.agg(F.count_if(F.col(BAD_CELLS) > 0).alias("bad")).first()["bad"]
