@@ -117,6 +117,13 @@ def test_unreadable_cells_leave_the_target_alone(spark, run, step):
     assert target(run) == before
 
 
+def test_reload_without_rows_leaves_the_target_alone(spark, run):
+    jobs.full_load(run, CONFIG, FIELDS, landed(spark, *OLD))
+    with pytest.raises(jobs.LoadFailed, match="no rows"):
+        jobs.full_load(later(run), CONFIG, FIELDS, landed(spark, *OLD).filter("false"))
+    assert len(target(run)) == 3
+
+
 def test_audit_of_a_staging_table(spark):
     staged = spark.range(0, 250_000, 500).withColumn("bad_cells", (F.col("id") == 100_500).cast("int"))
     audit = {r["chunk_id"]: r for r in jobs.audit_staged(CONFIG, staged).collect()}

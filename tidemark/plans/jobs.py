@@ -43,7 +43,7 @@ from tidemark.workspace import new_folder
 
 
 class LoadFailed(RuntimeError):
-    """A load with unreadable cells; the target was left as it was."""
+    """A load with unreadable cells, or a reload without rows; the target was left as it was."""
 
 
 @dataclass(frozen=True)
@@ -213,16 +213,17 @@ def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: Data
 
 
 def full_load(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
-    """Replace the target by the whole source: one write, published only if every cell could be read."""
+    """Replace the target by the whole source: one write, published only if it has rows and every cell could be read."""
     name = ensure_target(run, config, fields)
     wanted = target_schema(fields)
     seen = Observation()
-    # A retried task may count a bad row twice, which leaves "none" and "some" right.
-    rows = _clean(run, source, fields).observe(seen, F.count_if(F.col(BAD_CELLS) > 0).alias("bad"))
-    path = write_version(align(rows, wanted), name)
-    bad = seen.get["bad"]
-    if bad:
-        raise LoadFailed(f"{config.table}: {bad} rows with unreadable cells")
+    # A retried task may count a row twice, which leaves "none" and "some" right.
+    counts = F.count("*").alias("n"), F.count_if(F.col(BAD_CELLS) > 0).alias("bad")
+    path = write_version(align(_clean(run, source, fields).observe(seen, *counts), wanted), name)
+    if seen.get["bad"]:
+        raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells")
+    if not seen.get["n"]:
+        raise LoadFailed(f"{config.table}: the source has no rows")
     publish(run.spark, name, path, wanted)
     return Result(config.table, "reload", read_target(run.spark, name).count())
 

@@ -36,7 +36,8 @@ def stream_pages(spark: SparkSession, path: str, row: T.StructType, files_per_ba
 def to_pages(df: DataFrame, rows: int = PAGE_ROWS) -> DataFrame:
     """JSON pages of at most `rows` rows each, for landing `df`.
 
-    The page number comes from the running row id, which is unique, so no group can exceed `rows`.
+    The page number comes from the running row id, which is unique, so no group can exceed `rows`. Give it
+    stored rows: they keep their order, so that a task that is run again numbers them alike.
     """
     numbered = df.select(
         F.struct(*df.columns, F.array().cast("array<string>").alias("links")).alias("item"),

@@ -1,4 +1,4 @@
-"""Catalog writes: create, append, replace, truncate, clone, and the staging schema."""
+"""Catalog writes: create, append, truncate, clone, and the staging schema. `plans.store` replaces tables."""
 
 from __future__ import annotations
 
@@ -28,11 +28,6 @@ def append(df: DataFrame, name: str) -> None:
     align(df, stored).write.mode("append").format("parquet").saveAsTable(name)
 
 
-def replace(df: DataFrame, name: str) -> None:
-    """The table becomes exactly `df`, rows and schema. `df` must not read the table itself."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-
-
 def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
