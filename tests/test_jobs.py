@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import uuid
 
 import pytest
@@ -132,6 +133,31 @@ def test_audit_of_a_staging_table(spark):
     assert (audit[1]["uploaded"], audit[1]["failed"], audit[1]["succeeded"]) == (198, 2, False)
 
 
+def test_layout_and_broadcast_change_nothing(spark, run, monkeypatch, rows):
+    r = random.Random(11)
+    some = lambda n, mark: [
+        (None if r.random() < 0.1 else str(r.randrange(-60, 200)), f"{mark}{i}", f"3/{r.randrange(1, 20)}/2024", r.choice("TF"))
+        for i in range(n)
+    ]
+    first = list({x[0]: x for x in some(150, "old")}.values())
+    second = some(300, "new")
+    results = []
+    for layout, limit in ((None, 2**20), (None, 0), (25, 2**20), (25, 0)):
+        monkeypatch.setattr(jobs, "BROADCAST_KEY_BYTES", limit)
+        config = TableConfig(f"t_{layout}_{limit}", ("id",), "changed", layout_range=layout)
+        jobs.full_load(run, config, FIELDS, landed(spark, *first))
+        jobs.refresh(later(run), config, FIELDS, landed(spark, *second))
+        results.append(rows(store.read_target(spark, run.target(config))))
+    assert all(x == results[0] for x in results)
+    newest = {}
+    for k, name, day, _ in second:
+        if int(day.split("/")[1]) >= 8:
+            rank = (int(day.split("/")[1]), [-ord(c) for c in name])
+            newest[k] = max(newest.get(k, (rank, name)), (rank, name))
+    kept = [name for k, name, *_ in first if k is None or k not in newest]
+    assert sorted(x[1] for x in results[0]) == sorted([*kept, *(name for _, name in newest.values())])
+
+
 def test_composite_key(spark, run):
     jobs.full_load(run, QUOTA, FIELDS, landed(spark, ("1", "a", "3/9/2024", "T"), ("1", "b", "3/10/2024", "T")))
     jobs.refresh(later(run), QUOTA, FIELDS, landed(spark, *[("1", "B", "3/10/2024", "F")] * 2, ("1", "c", "3/11/2024", "T")))
@@ -239,11 +265,13 @@ def land(spark, path, *rows):
     pages.land_pages(landed(spark, *rows).coalesce(1), str(path))
 
 
-def test_stream_merges_each_file_once(spark, run, tmp_path):
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_stream_merges_each_file_once(spark, run, tmp_path, layout):
+    config = TableConfig("account", ("id",), "changed", layout_range=layout)
     land(spark, tmp_path / "in", ("1", "new", "3/9/2024", "T"), ("2", "two", "3/9/2024", "F"))
     land(spark, tmp_path / "in", ("1", "late", "3/1/2024", "T"), ("3", "three", "3/9/2024", "F"))
     start = lambda marks: stream_refresh(
-        run, CONFIG, FIELDS, str(tmp_path / "in"), str(tmp_path / marks), files_per_batch=1
+        run, config, FIELDS, str(tmp_path / "in"), str(tmp_path / marks), files_per_batch=1
     ).awaitTermination()
     start("marks")
     once = target(run)

@@ -25,24 +25,23 @@ _US_DATE = rf"^{_month_day('/')}/{_YEAR}\z"
 _ISO_DATE = rf"^{_YEAR}-{_month_day('-')}\z"
 _ISO_SECOND = rf"^{_YEAR}-{_month_day('-')}\s+(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]\z"
 _INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
-_FLOAT = r"(?i)^\s*(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|[+-]?inf(?:inity)?|nan)\s*\z"
+_FLOAT = r"^\s*(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:[+-]?inf(?:inity)?|nan))\s*\z"
 
 
 def clean_boolean(value: Column) -> Column:
     """`T` is true, `F` is false, other text is read as a boolean if it is one."""
-    word = F.lower(F.trim(value))
-    return (
-        F.when(value == "T", True)
-        .when(value == "F", False)
-        .when(word.isin(*TRUE_WORDS), True)
-        .when(word.isin(*FALSE_WORDS), False)
-    )
+    words = {w: True for w in TRUE_WORDS} | {w: False for w in FALSE_WORDS}
+    meaning = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
+    other = F.try_element_at(meaning, F.lower(F.trim(value)))
+    return F.when(value == "T", True).when(value == "F", False).otherwise(other)
 
 
 def clean_date(value: Column) -> Column:
     """Month/day/year text as a date. Every other form is null, ISO dates too."""
-    iso = F.concat(F.right(value, F.lit(4)), F.lit("-"), F.substring_index(value, "/", 2))
-    return F.when(value.rlike(_US_DATE), F.translate(iso, "/ ", "-").try_cast("date"))
+    year_first = F.concat(F.right(value, F.lit(4)), F.lit("-"), F.substring_index(value, "/", 2))
+    iso = F.replace(year_first, F.lit("/"), F.lit("-"))
+    tidy = F.when(value.contains("/ "), F.replace(iso, F.lit(" "))).otherwise(iso)
+    return F.when(value.rlike(_US_DATE), tidy.try_cast("date"))
 
 
 def clean_timestamp(value: Column, to: str = "timestamp_ntz") -> Column:

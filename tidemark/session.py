@@ -6,11 +6,14 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+    # HotSpot compiles no method of more than 8000 bytes: above that, generated code for a wide table runs
+    # interpreted, and Spark's smaller functions per column are faster.
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
