@@ -72,6 +72,19 @@ def test_reading_chunks_prunes_partitions(spark, place, tmp_path):
     assert "PartitionFilters: [key_chunk" in chunk._jdf.queryExecution().executedPlan().toString()
 
 
+def test_too_many_partitions_are_refused(spark, rows, place, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "MOST_PARTITIONS", 3)
+    name, layout = f"{place}.t", store.Layout("k", 10)
+    df = spark.range(40).withColumnRenamed("id", "k")
+    store.create_target(spark, name, df.schema, str(tmp_path / "t"), layout)
+    store.update_target(df.filter("k < 30"), name)
+    with pytest.raises(ValueError, match="wider range"):
+        store.update_target(df, name)
+    with pytest.raises(ValueError, match="wider range"):
+        store.touched_chunks(df, layout)
+    assert store.read_target(spark, name).count() == 30
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, conf, place, tmp_path):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
     name = f"{place}.t"

@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.operators.columns import align
 from tidemark.operators.ranges import chunk_of
 
+# The catalog and the driver handle so many partitions of one table; a layout that gives more is refused.
+MOST_PARTITIONS = 20_000
+
 CHUNK = "key_chunk"
 NO_CHUNK = "__HIVE_DEFAULT_PARTITION__"
 
@@ -36,17 +39,16 @@ class Layout:
         return chunk_of(F.col(self.key), F.lit(0), self.range)
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str | None:
-    return next((r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if r["key"] == key), None)
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
-def layout_of(spark: SparkSession, name: str) -> Layout | None:
-    key = _property(spark, name, _KEY)
-    return Layout(key, int(_property(spark, name, _RANGE))) if key else None
+def _layout(properties: dict[str, str]) -> Layout | None:
+    return Layout(properties[_KEY], int(properties[_RANGE])) if _KEY in properties else None
 
 
-def _new_version(spark: SparkSession, name: str) -> str:
-    return f"{_property(spark, name, _ROOT)}/{uuid.uuid4().hex}"
+def layout_of(spark: SparkSession, name: str) -> Layout | None:
+    return _layout(_properties(spark, name))
 
 
 def create_target(
@@ -84,7 +86,8 @@ def write_version(df: DataFrame, name: str, *, gathered: bool = False) -> str:
     not meet in one task. `gathered` says that each task of `df` already holds few partitions.
     """
     spark = df.sparkSession
-    path, layout = _new_version(spark, name), layout_of(spark, name)
+    properties = _properties(spark, name)
+    path, layout = f"{properties[_ROOT]}/{uuid.uuid4().hex}", _layout(properties)
     if layout is None:
         df.write.parquet(path)
     else:
@@ -99,9 +102,9 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def publish(spark: SparkSession, name: str, path: str, schema: T.StructType | None = None) -> None:
     """Make the version at `path` the whole target. A changed schema registers the table anew."""
-    stored, layout = read_target(spark, name).schema, layout_of(spark, name)
+    stored, properties = read_target(spark, name).schema, _properties(spark, name)
+    layout, root = _layout(properties), properties[_ROOT]
     if schema is not None and _shape(schema) != _shape(stored):
-        root = _property(spark, name, _ROOT)
         spark.sql(f"DROP TABLE {name}")
         if layout is None:
             _create(spark, name, schema, root, None, path)
@@ -110,8 +113,7 @@ def publish(spark: SparkSession, name: str, path: str, schema: T.StructType | No
     if layout is None:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
-        written = read_version(spark, path, spark.table(name).schema).select(CHUNK).distinct()
-        chunks = [r[CHUNK] for r in written.collect()]
+        chunks = _chunks(read_version(spark, path, spark.table(name).schema))
         _point(spark, name, path, chunks)
         gone = _partitions(spark, name) - {_spec(c) for c in chunks}
         for spec in sorted(gone):
@@ -138,8 +140,15 @@ def update_target(df: DataFrame, name: str) -> None:
 
 
 def touched_chunks(df: DataFrame, layout: Layout) -> list[int | None]:
-    """The partitions that the rows of `df` belong to; no more than the target can have partitions."""
-    return [r[CHUNK] for r in df.select(layout.chunk().alias(CHUNK)).distinct().collect()]
+    """The partitions that the rows of `df` belong to."""
+    return _chunks(df.select(layout.chunk().alias(CHUNK)))
+
+
+def _chunks(df: DataFrame) -> list[int | None]:
+    chunks = [r[CHUNK] for r in df.select(CHUNK).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(chunks) > MOST_PARTITIONS:
+        raise ValueError(f"more than {MOST_PARTITIONS} partitions: the layout needs a wider range")
+    return chunks
 
 
 def read_chunks(spark: SparkSession, name: str, chunks: list[int | None]) -> DataFrame:
