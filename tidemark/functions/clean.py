@@ -1,7 +1,7 @@
 """Text cleaners. Bad text becomes null; the audit counts it (`operators.audit`).
 
-A failing `try_cast` costs an exception per row, some hundred times the cast itself. Each cleaner therefore
-first tests the shape of the text, and only text that can be read reaches the cast.
+A failing `try_cast` costs an exception per row, far more than the cast itself. Each cleaner therefore first
+tests the shape of the text, and hardly any text that cannot be read reaches the cast.
 """
 
 from __future__ import annotations
