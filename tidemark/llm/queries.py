@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, mixing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query()
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query(r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
