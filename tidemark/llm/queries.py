@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, mixing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,23 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf, "documents"))
 
 
+@query()
+def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return encoded_digests(_table(spark, sf, "documents"))
+
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """Documents encoded and decoded again: n_tokens and the digests of ids and bytes."""
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    there_and_back = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
+    return there_and_back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
