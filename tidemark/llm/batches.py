@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -18,7 +19,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))
         at = 0
         while at < batch.num_rows:
