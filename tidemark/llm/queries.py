@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, mixing, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, mixing, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf, "documents"))
 
 
+@query()
+def op7_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_dedup(_table(spark, sf, "documents")).drop("kept")
+
+
 @query()
 def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encoded_digests(_table(spark, sf, "documents"))
