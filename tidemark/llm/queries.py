@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, mixing, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, exact_dedup, html, mixing, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,11 @@ def encoded_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+@query()
+def op9_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract_text(_table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
