@@ -7,20 +7,25 @@ by the bytes alone.
 
 A level is two shuffles of the documents still in a group: a count by (group, digit), which is combined before its
 shuffle, so a group with a third of all rows sends one row per task; and a plain join back to the groups of two or
-more, whose hot keys adaptive execution splits. Texts of single documents leave at level 0, and since the length
-is the first digit, hardly anything but copies goes further. The levels are tables in the shared folder.
+more, whose hot keys adaptive execution splits. Before the join of level 0 a bitmap of the groups, of bounded
+size, lets documents that are surely alone pass without a shuffle; where the bitmap is too small for the corpus,
+more documents go through the join. Since the length is the first digit, hardly anything but copies goes
+further. The levels are tables in the shared folder.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.text import Shelf, filled, single_spaced
+from tidemark.llm.text import Shelf, single_spaced
 
 FIRST_BYTES = 64
 GROWTH = 8
+BUCKET_BITS = 32768
+MOST_BUCKETS = 4096
 
 
 def exact_dedup(
@@ -41,76 +46,88 @@ def exact_dedup(
     names, are only in `row`.
     """
     shelf = Shelf(docs.sparkSession, "exact-dedup")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.struct(F.col(f"`{text_col}`"))
-    given = docs.select(F.col(f"`{id_col}`").alias("doc_id"), row.alias("row"))
-    text = F.col("row")[text_col]
-
-    def heads(*kept: str) -> DataFrame:
-        norm = given.select(*kept, single_spaced(text).alias("norm"))
-        return norm.select(
-            *kept,
-            F.octet_length("norm").alias("length"),
-            _digit(F.col("norm").cast("binary"), 0, first_bytes).alias("digit"),
-            *([F.sha2("norm", 256).alias("sha")] if kept else []),
-        )
-
-    shared = heads().groupBy("length", "digit").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    text, rest = F.col(f"`{text_col}`"), ["row"] if carry else []
+    norm = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"),
+        single_spaced(text).alias("norm"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
+    )
+    heads = norm.withColumns(
+        {"length": F.octet_length("norm"), "digit": _digit(F.col("norm").cast("binary"), first_bytes)}
+    )
+    shared = heads.groupBy("length", "digit").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     groups = shelf.put(shared.withColumn("gid", F.monotonically_increasing_id()), "groups-0")
-    joined = heads("doc_id", "row").join(groups, ["length", "digit"], "left")
-    in_group = F.col("gid").isNotNull()
+    maybe = F.col("maybe")
     level = shelf.put(
-        joined.select(
-            "doc_id", "sha", "length", "gid", F.when(in_group, _bytes(text)).alias("text"),
-            F.monotonically_increasing_id().alias("tag"), *(["row"] if carry else []),
+        _sieved(heads, groups).select(
+            "doc_id", "length", "digit", F.sha2("norm", 256).alias("sha"), "maybe",
+            F.when(maybe, F.col("norm").cast("binary")).alias("text"), F.monotonically_increasing_id().alias("tag"),
+            *rest,
         ),
-        "level-0",
+        "sieved",
     )
-    rest = ["row"] if carry else []
-    alone = _alone(level.filter(~in_group), rest)
-    done, open_rows, start, width = [alone], level.filter(in_group), 0, first_bytes
+    done = [_alone(level.filter(~maybe), rest)]
+    # Joins are by shuffle at every size: the broadcast side would grow with the copies in the corpus.
+    joined = level.filter(maybe).join(groups.hint("merge"), ["length", "digit"], "left")
+    level = shelf.put(joined.select("doc_id", "sha", "length", "tag", "gid", _rest("gid", first_bytes), *rest), "level-0")
+    done.append(_alone(level.filter("gid IS NULL"), rest))
+    open_rows, start, width = level.filter("gid IS NOT NULL"), first_bytes, first_bytes * growth
     while True:
-        # The first round compares from the start again only what level 0 compared: nothing; it begins behind it.
-        start, width = start + width, width * growth
-        keyed = open_rows.withColumn("digit", _digit(F.col("text"), start, width))
+        keyed = open_rows.withColumn("digit", _digit(F.col("text"), width))
         found = keyed.groupBy("gid", "digit").agg(
             F.count("*").alias("n"),
             F.min("doc_id").alias("keep_id"),
             F.coalesce(F.min_by("tag", "doc_id"), F.min("tag")).alias("keep_tag"),
             F.max("length").alias("longest"),
         )
-        groups = shelf.put(
-            found.filter("n > 1").withColumn("next_gid", F.monotonically_increasing_id()), f"groups-{start}"
-        )
-        ended = F.col("length") <= start + width
+        numbered = found.filter("n > 1").withColumn("next_gid", F.monotonically_increasing_id())
+        groups = shelf.put(numbered, f"groups-{start}")
+        start, width = start + width, width * growth
+        joined = keyed.join(groups.hint("merge"), ["gid", "digit"], "left")
         level = shelf.put(
-            keyed.join(groups, ["gid", "digit"], "left").select(
+            joined.select(
                 "doc_id", "sha", "length", "tag", "next_gid", "n", "keep_id", "keep_tag",
-                F.when(F.col("next_gid").isNotNull() & ~ended, F.col("text")).alias("text"), *rest,
+                _rest("next_gid", width // growth), *rest,
             ),
             f"level-{start}",
         )
-        member = F.col("next_gid").isNotNull()
+        member, ended = F.col("next_gid").isNotNull(), F.col("length") <= start
         done.append(_alone(level.filter(~member), rest))
-        copies = level.filter(member & ended)
         done.append(
-            copies.select(
+            level.filter(member & ended).select(
                 "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("tag") == F.col("keep_tag")).alias("kept"),
                 F.col("sha").alias("text_sha256"), *rest,
             )
         )
-        if groups.filter(F.col("longest") > start + width).isEmpty():
+        if groups.filter(F.col("longest") > start).isEmpty():
             return reduce(DataFrame.unionByName, done)
         open_rows = level.filter(member & ~ended).select(
             "doc_id", "sha", "length", "tag", F.col("next_gid").alias("gid"), "text", *rest
         )
 
 
-def _bytes(text: Column) -> Column:
-    return single_spaced(filled(text)).cast("binary")
+def _sieved(heads: DataFrame, groups: DataFrame) -> DataFrame:
+    """`heads` with `maybe`: false where no group has its length and digit, true where one has and seldom else.
+
+    The bitmap has 16 bits for each group, in buckets of 4 KiB of which there are at most `MOST_BUCKETS`: 16 MiB in all.
+    """
+    buckets = min(MOST_BUCKETS, 1 << math.ceil(math.log2(max(1, groups.count() * 16 / BUCKET_BITS))))
+    slot = F.pmod(F.xxhash64("length", "digit"), F.lit(BUCKET_BITS * buckets))
+    placed = (F.floor(slot / BUCKET_BITS).alias("bucket"), F.pmod(slot, F.lit(BUCKET_BITS)).alias("place"))
+    bitmap = groups.select(*placed).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    at = heads.select("*", *placed).join(F.broadcast(bitmap), "bucket", "left")
+    byte = F.substring(F.col("bits"), F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.pmod("place", F.lit(8)).cast("int"))
+    return at.withColumn("maybe", F.coalesce(bit == 1, F.lit(False))).drop("bucket", "place", "bits")
+
+
+def _rest(group: str, width: int) -> Column:
+    """What is left of the text behind its digit, for rows that are in a group."""
+    return F.when(F.col(group).isNotNull(), F.substring("text", width + 1, 1 << 30)).alias("text")
 
 
-def _digit(content: Column, start: int, width: int) -> Column:
-    return F.substring(content, start + 1, width)
+def _digit(content: Column, width: int) -> Column:
+    return F.substring(content, 1, width)
 
 
 def _alone(rows: DataFrame, rest: list[str]) -> DataFrame:
