@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, html, mixing, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, exact_dedup, html, mixing, quality, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,11 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @query(r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings

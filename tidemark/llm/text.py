@@ -29,6 +29,11 @@ def word_count(text: Column) -> Column:
     return F.when(words == "", F.lit(0)).otherwise(spaces + 1).cast("long")
 
 
+def fold(doc_id: Column, folds: int = 4, held_out: int = 2) -> Column:
+    """Whether a document is held out: CRC-32 of its id as text, modulo `folds`, is `held_out`. A null id is not."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == held_out, F.lit(False))
+
+
 class Shelf:
     """Tables of one run in the shared folder: written once, read back without their lineage."""
 
