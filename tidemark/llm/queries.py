@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, html, mixing, quality, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, exact_dedup, html, language, mixing, quality, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,11 @@ def op5_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.exact_top_k(_table(spark, sf, "embeddings"))
 
 
+@query()
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(_table(spark, sf, "documents"))
+
+
 @query()
 def op7_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_dedup(_table(spark, sf, "documents")).drop("kept")
@@ -92,12 +97,13 @@ def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encoded_digests(_table(spark, sf, "documents"))
 
 
-def encoded_digests(docs: DataFrame) -> DataFrame:
-    """Documents encoded and decoded again: n_tokens and the digests of ids and bytes."""
+def encoded_digests(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Documents encoded and decoded again: n_tokens and the digests of ids and bytes, and the ids if wanted."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     there_and_back = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
     return there_and_back.select(
         "doc_id",
+        *(["ids"] if keep_ids else []),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
