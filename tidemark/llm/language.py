@@ -114,7 +114,7 @@ def learn(counted: Sequence[tuple[str, np.ndarray, np.ndarray]]) -> Languages:
     # Order, column, language.
     likelihood = np.stack(tables, axis=2).astype(np.float32) if tables else np.zeros((len(ORDERS), 0, 0), np.float32)
     writes = np.array([letters >= SCRIPT_SHARE * max(1, letters.sum()) for _, _, letters in counted], bool)
-    return Languages(tuple(name for name, _, _ in counted), likelihood, writes.reshape(len(counted), -1))
+    return Languages(tuple(name for name, _, _ in counted), likelihood, writes.reshape(len(counted), len(SCRIPT_NAMES)))
 
 
 class WordScores:

@@ -39,7 +39,9 @@ def threshold_search(
     vectors, queries = vectors.astype(kind), queries.astype(kind)
     falling = np.argsort(-vectors, axis=0, kind="stable")
     values = np.take_along_axis(vectors, falling, axis=0)
-    depths = [min(n, FIRST_DEPTH * DEEPER**i) for i in range(64) if FIRST_DEPTH * DEEPER**i < n * DEEPER]
+    depths = [min(n, FIRST_DEPTH)]
+    while depths[-1] < n:
+        depths.append(min(n, depths[-1] * DEEPER))
     ends = np.array(depths) - 1
     bounds = np.maximum(queries, 0) @ values[ends].T + np.minimum(queries, 0) @ values[n - 1 - ends].T
     out = []
@@ -117,23 +119,26 @@ def exact_top_k(
         return df.withColumn(own, F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")).withColumn(other, every_block)
 
     candidates = dealt(rows, "block", blocks, "turn", turns)
-    queries = dealt(rows.filter(asked), "turn", turns, "block", blocks)
+    queries = dealt(rows.filter(asked), "turn", turns, "block", blocks).select(
+        F.col("block").alias("at"), F.col("turn").alias("by"), F.col("row").alias("query"),
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("asked"),
+    )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64)] * 5
         if left.num_rows and right.num_rows:
-            a, b = _matrix(left["vector"]), _matrix(right["vector"])
+            a, b = _matrix(left["vector"]), _matrix(right["asked"])
             width = max(a.shape[1], b.shape[1])
             a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
             ids, at = left["vec_id"].to_numpy(), left["row"].to_numpy()
-            asked_ids, asked_rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
+            asked_ids, asked_rows = right["query_id"].to_numpy(), right["query"].to_numpy()
             q, c, score = threshold_search(a, ids, at, b, asked_rows, k)
             found = [asked_rows[q], asked_ids[q], at[c], ids[c], score]
         return pa.table(dict(zip(["query", "query_id", "row", "vec_id", "score"], found)))
 
     best = (
         candidates.groupBy("block", "turn")
-        .cogroup(queries.groupBy("block", "turn"))
+        .cogroup(queries.groupBy("at", "by"))
         .applyInArrow(search, "query long, query_id long, row long, vec_id long, score long")
     )
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
