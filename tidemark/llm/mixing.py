@@ -56,7 +56,8 @@ def mix(
     rules = _thresholds(shelf, sized, goals)
     # Rows are read again for their other columns; id, size and hash come out the same.
     rows = given if carry else sized
-    copies = F.col("base") + (F.col("h") < F.col("threshold")).cast("long")
+    # The hash of a text without words may be below any threshold.
+    copies = F.least(F.col("base") + (F.col("h") < F.col("threshold")).cast("long"), F.lit(most_copies))
     joined = rows.join(rules.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     return joined.withColumn("copies", copies).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
