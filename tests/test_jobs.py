@@ -1,12 +1,13 @@
 import datetime as dt
 import random
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import control
-from tidemark.operators.columns import fields_of
+from tidemark.operators.columns import Field, fields_of
 from tidemark.operators.dedupe import DuplicateKeys
 from tidemark.plans import jobs, store
 from tidemark.plans.config import TableConfig
@@ -34,7 +35,7 @@ def run(spark, tmp_path):
 
 
 def later(run, hour=2, as_of=DAY):
-    return jobs.Run(run.spark, run.schema, run.root, as_of, moment(hour))
+    return replace(run, as_of=as_of, load_ts=moment(hour))
 
 
 def landed(spark, *rows):
@@ -60,21 +61,22 @@ def test_refresh_takes_the_recent_window(spark, run, layout):
         ("2", "TWO", "3/8/2024", "T"),  # first day of the window
         ("2", "TWO+", "3/9/2024", "T"),  # newer row of the same key
         ("40", "forty", "4/1/2024", "T"),  # the future counts as recent
-        ("5", "five", "2024-03-10", "T"),  # not a date
+        ("5", "five", "2024-03-10", "T"),  # not a date: it may be recent
         ("6", "six", None, "T"),
     )
     result = jobs.refresh(later(run), config, FIELDS, source)
-    assert result == jobs.Result("account", "refresh", 3)
+    assert result == jobs.Result("account", "refresh", 4, bad_dates=1)
     expected = {
         1: ("one", D(2024, 1, 5), True, 1),
         2: ("TWO+", D(2024, 3, 9), True, 2),
         3: ("three", D(2024, 3, 9), False, 1),
+        5: ("five", None, True, 2),
         40: ("forty", D(2024, 4, 1), True, 2),
     }
     assert target(run, config) == expected
     jobs.refresh(later(run), config, FIELDS, source)
     assert target(run, config) == expected
-    assert jobs.refresh(later(run, as_of=D(2025, 1, 1)), config, FIELDS, source).uploaded == 0
+    assert jobs.refresh(later(run, as_of=D(2025, 1, 1)), config, FIELDS, source).uploaded == 1
     assert target(run, config) == expected
 
 
@@ -92,10 +94,25 @@ def test_typed_source_is_filtered_in_the_scan(spark, run, tmp_path):
     assert target(run) == {2: ("b", D(2024, 3, 8), None, 1)}
 
 
-def test_layout_needs_an_integer_key(spark, run):
-    config = TableConfig("named", ("name",), "changed", layout_range=10)
-    with pytest.raises(ValueError, match="integer"):
-        jobs.refresh(run, config, FIELDS, landed(spark, *OLD))
+def test_text_keys_are_stored_in_hash_buckets(spark, run):
+    config = TableConfig("named", ("NAME",), "changed", layout_range=10)
+    jobs.refresh(run, config, FIELDS, landed(spark, *OLD))
+    layout = store.layout_of(spark, run.target(config))
+    assert (layout.key, layout.range, layout.buckets) == ("name", None, jobs.BUCKETS)
+    jobs.refresh(later(run), config, FIELDS, landed(spark, ("9", "two", "3/9/2024", "T"), ("4", "four", "3/9/2024", "T")))
+    got = {r["name"]: r["id"] for r in store.read_target(spark, run.target(config)).collect()}
+    assert got == {"two": 9, "three": 3, "four": 4}
+
+
+def test_a_target_of_many_folders_is_written_anew(spark, run, monkeypatch):
+    monkeypatch.setattr(store, "MOST_FOLDERS", 3)
+    config = TableConfig("account", ("id",), "changed", layout_range=10)
+    folders = []
+    for i in range(6):
+        jobs.refresh(later(run), config, FIELDS, landed(spark, (str(10 * i), f"n{i}", "3/9/2024", "T"), ("999", f"n{i}", "3/9/2024", "T")))
+        folders.append(len(store._folders(store._properties(spark, run.target(config)))))
+    assert folders == [1, 2, 3, 1, 2, 3]
+    assert {k: v[0] for k, v in target(run, config).items()} == {**{10 * i: f"n{i}" for i in range(6)}, 999: "n5"}
 
 
 def test_unreadable_keys_stop_a_backfill(spark, run):
@@ -109,13 +126,50 @@ def test_refresh_into_a_new_target(spark, run):
     assert set(target(run)) == {2, 3}
 
 
+MIXED = [("1", "x", "3/10/2024", "T"), ("2", "y", "3/10/2024", "perhaps")]
+
+
 @pytest.mark.parametrize("step", [jobs.refresh, jobs.full_load])
-def test_unreadable_cells_leave_the_target_alone(spark, run, step):
+def test_strict_loads_leave_the_target_alone(spark, run, step):
     jobs.full_load(run, CONFIG, FIELDS, landed(spark, *OLD))
     before = target(run)
     with pytest.raises(jobs.LoadFailed):
-        step(later(run), CONFIG, FIELDS, landed(spark, ("1", "x", "3/10/2024", "T"), ("2", "y", "3/10/2024", "perhaps")))
+        step(later(run), CONFIG, FIELDS, landed(spark, *MIXED), strict=True)
     assert target(run) == before
+    assert spark.table(run.rejects).select("table_name", "chunk_id").collect() == [("account", 0)]
+
+
+@pytest.mark.parametrize("step, left", [(jobs.refresh, {1, 2, 3}), (jobs.full_load, {1})])
+def test_bad_rows_are_rejected_and_the_others_loaded(spark, run, step, left):
+    jobs.full_load(run, CONFIG, FIELDS, landed(spark, *OLD))
+    result = step(later(run), CONFIG, FIELDS, landed(spark, *MIXED), strict=False)
+    assert (result.uploaded, result.rejected) == (1, 1)
+    assert set(target(run)) == left and target(run)[1][0] == "x"
+    (reject,) = spark.table(run.rejects).collect()
+    assert '"id":2' in reject["row"] and reject["reason"].startswith("1 ")
+    (audit,) = spark.table(run.audits).filter("failed > 0").collect()
+    assert (audit["uploaded"], audit["failed"], audit["succeeded"]) == (1, 1, False)
+
+
+def test_required_columns_may_not_be_null(spark, run):
+    fields = [*FIELDS[:1], Field("name", "STRING", False), *FIELDS[2:]]
+    result = jobs.full_load(run, CONFIG, fields, landed(spark, ("1", None, "3/9/2024", "T"), ("2", "two", "3/9/2024", "T")))
+    assert (result.uploaded, result.rejected) == (1, 1)
+
+
+@pytest.mark.parametrize("size", [1_000, 200_000])
+def test_audit_by_a_text_key(spark, run, size):
+    config = TableConfig("account", ("id",), "changed", "name", size)
+    with pytest.raises(jobs.LoadFailed):
+        jobs.refresh(run, config, FIELDS, landed(spark, *MIXED))
+    assert spark.table(run.audits).filter("failed > 0").count() == 1
+
+
+def test_two_runs_do_not_share_staging(spark, run):
+    other = jobs.open_run(spark, run.schema, DAY, moment(2), root=run.root)
+    jobs._stage(run, run.staged(CONFIG), spark.range(3))
+    jobs.close_run(other)
+    assert spark.table(run.staged(CONFIG)).count() == 3
 
 
 def test_reload_without_rows_leaves_the_target_alone(spark, run):
@@ -196,7 +250,9 @@ def test_date_column_may_be_undeclared(spark, run, tmp_path):
     with pytest.raises(ValueError, match="changed"):
         jobs.refresh(later(run), CONFIG, few, source.drop("changed"))
     land(spark, tmp_path / "in", ("3", "THREE", "3/9/2024", "T"))
-    stream_refresh(run, CONFIG, few, str(tmp_path / "in"), str(tmp_path / "marks")).awaitTermination()
+    with pytest.raises(ValueError, match="declare it"):
+        stream_refresh(run, CONFIG, few, str(tmp_path / "in"), str(tmp_path / "marks"))
+    stream_refresh(run, CONFIG, few, str(tmp_path / "in"), str(tmp_path / "marks"), only_if_newer=False).awaitTermination()
     assert target(run)[3][0] == "THREE"
 
 
@@ -210,7 +266,7 @@ def test_refresh_with_a_new_column_does_both(spark, run):
 
 def test_backfill_that_died_starts_over(spark, run, monkeypatch):
     jobs.full_load(run, CONFIG, [f for f in FIELDS if f.name != "active"], landed(spark, *OLD))
-    monkeypatch.setattr(jobs, "declared_schema", lambda fields: 1 / 0)
+    monkeypatch.setattr(jobs, "publish", lambda *args: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         jobs.backfill(run, CONFIG, FIELDS, landed(spark, *OLD))
     monkeypatch.undo()
@@ -228,12 +284,12 @@ def test_reload_takes_the_declared_schema(spark, run):
 
 
 def test_sync_modes(spark, run):
-    names = ["fresh", "once", "always", "unknown", "broken"]
+    names = ["fresh", "once", "always", "unknown", "broken", "unreadable", "last"]
     configs = {n: TableConfig(n, ("id",), "changed") for n in names}
     for n in names:
         jobs.full_load(run, configs[n], FIELDS, landed(spark, *OLD))
     sheet = spark.createDataFrame(
-        [("once", "reload_once", 1), ("always", "reload_always", 2), ("unknown", "whenever", 3), ("broken", "reload_once", 4)],
+        [("once", "reload_once", 1), ("always", "reload_always", 2), ("unknown", "whenever", 3), ("broken", "reload_once", 4), ("unreadable", "reload_once", 5)],
         "Table_Name string, Sync_Mode string, position int",
     )
     name = f"{run.schema}.modes"
@@ -242,6 +298,9 @@ def test_sync_modes(spark, run):
     new = landed(spark, ("2", "TWO", "3/9/2024", "T"))
     sources = {n: jobs.Source(FIELDS, new) for n in [*names, "not configured"]}
     sources["broken"] = jobs.Source(FIELDS, landed(spark, ("2", "TWO", "3/9/2024", "maybe")))
+    run.spark.createDataFrame([("{",)], "value string").write.text(f"{run.root}/pages")
+    page = pages.read_pages(spark, f"{run.root}/pages", new.schema)
+    sources["unreadable"] = jobs.Source(FIELDS, page)
     results = jobs.sync_by_table(later(run), configs, sources, name, "position")
     assert [(r.table, r.action, bool(r.error)) for r in results] == [
         ("fresh", "refresh", False),
@@ -249,15 +308,18 @@ def test_sync_modes(spark, run):
         ("always", "reload", False),
         ("unknown", "none", True),
         ("broken", "none", True),
+        ("unreadable", "none", True),
+        ("last", "refresh", False),
     ]
     counts = {n: store.read_target(spark, run.target(configs[n])).count() for n in names}
-    assert counts == {"fresh": 3, "once": 1, "always": 1, "unknown": 3, "broken": 3}
+    assert counts == {"fresh": 3, "once": 1, "always": 1, "unknown": 3, "broken": 3, "unreadable": 3, "last": 3}
     modes = {r["Table_Name"]: r["Sync_Mode"] for r in store.read_target(spark, name).collect()}
     assert modes == {
         "once": control.PERIODIC_REFRESH,
         "always": control.RELOAD_ALWAYS,
         "unknown": "whenever",
         "broken": control.RELOAD_ONCE,
+        "unreadable": control.RELOAD_ONCE,
     }
 
 
@@ -285,10 +347,15 @@ def test_stream_merges_each_file_once(spark, run, tmp_path, layout):
     assert target(run)[2][0] == "TWO"
 
 
-def test_stream_stops_at_unreadable_cells(spark, run, tmp_path):
+def test_stream_goes_on_after_unreadable_cells(spark, run, tmp_path):
+    def start(marks, **options):
+        stream_refresh(run, CONFIG, FIELDS, str(tmp_path / "in"), str(tmp_path / marks), **options).awaitTermination()
+
     land(spark, tmp_path / "in", ("1", "new", "3/9/2024", "T"))
-    stream_refresh(run, CONFIG, FIELDS, str(tmp_path / "in"), str(tmp_path / "marks")).awaitTermination()
-    land(spark, tmp_path / "in", ("1", "newer", "3/10/2024", "?"))
+    start("marks")
+    land(spark, tmp_path / "in", ("1", "newer", "3/10/2024", "?"), ("2", "two", "3/10/2024", "T"))
+    start("marks")
+    assert {k: v[0] for k, v in target(run).items()} == {1: "new", 2: "two"}
+    assert spark.table(run.rejects).count() == 1
     with pytest.raises(Exception, match="LoadFailed|unreadable"):
-        stream_refresh(run, CONFIG, FIELDS, str(tmp_path / "in"), str(tmp_path / "marks")).awaitTermination()
-    assert target(run)[1][0] == "new"
+        start("strict marks", strict=True)

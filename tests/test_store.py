@@ -1,3 +1,4 @@
+import datetime as dt
 import uuid
 
 import pytest
@@ -55,7 +56,7 @@ def test_only_touched_partitions_move(spark, rows, place, tmp_path):
     before = {f for f in spark.table(name).inputFiles()}
     new = spark.createDataFrame([(15, "B"), (35, "E"), (None, "D")], "k bigint, v string")
     chunks = store.touched_chunks(new, layout)
-    assert set(chunks) == {1, 3, None}
+    assert {r[store.CHUNK] for r in chunks.collect()} == {1, 3, store.NO_CHUNK}
     assert rows(store.read_chunks(spark, name, chunks)) == sorted([(15, "b"), (None, "d")], key=repr)
     store.publish_chunks(spark, name, store.write_version(new, name), chunks)
     assert rows(store.read_target(spark, name)) == sorted([(1, "a"), (15, "B"), (25, "c"), (35, "E"), (None, "D")], key=repr)
@@ -63,26 +64,63 @@ def test_only_touched_partitions_move(spark, rows, place, tmp_path):
     assert {f for f in before if "key_chunk=0" in f or "key_chunk=2" in f} <= after
 
 
-def test_reading_chunks_prunes_partitions(spark, place, tmp_path):
-    name = f"{place}.t"
-    store.create_target(spark, name, spark.range(1).withColumnRenamed("id", "k").schema, str(tmp_path / "t"), store.Layout("k", 10))
-    store.update_target(spark.range(100).withColumnRenamed("id", "k"), name)
-    chunk = store.read_chunks(spark, name, [2, 3])
+def test_reading_chunks_prunes_files(spark, place, tmp_path, monkeypatch):
+    name, layout = f"{place}.t", store.Layout("k", 10)
+    numbers = spark.range(100).withColumnRenamed("id", "k")
+    store.create_target(spark, name, numbers.schema, str(tmp_path / "t"), layout)
+    store.update_target(numbers, name)
+    touched = store.touched_chunks(numbers.filter("k >= 20 and k < 40"), layout)
+    chunk = store.read_chunks(spark, name, touched)
     assert chunk.count() == 20
     assert "PartitionFilters: [key_chunk" in chunk._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(store, "LISTED_CHUNKS", 1)
+    assert store.read_chunks(spark, name, touched).count() == 20
 
 
-def test_too_many_partitions_are_refused(spark, rows, place, tmp_path, monkeypatch):
-    monkeypatch.setattr(store, "MOST_PARTITIONS", 3)
-    name, layout = f"{place}.t", store.Layout("k", 10)
-    df = spark.range(40).withColumnRenamed("id", "k")
+def test_targets_of_any_number_of_chunks(spark, rows, place, tmp_path):
+    name, layout = f"{place}.t", store.Layout("k", 1)
+    numbers = spark.range(300).withColumnRenamed("id", "k")
+    store.create_target(spark, name, numbers.schema, str(tmp_path / "t"), layout)
+    store.update_target(numbers, name)
+    assert store.read_target(spark, name).count() == 300
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("dies_in", ["write_version", "_point"])
+def test_a_death_leaves_the_old_or_the_new_table(spark, rows, place, tmp_path, monkeypatch, layout, dies_in):
+    name = f"{place}.t"
+    df = spark.createDataFrame([(1, "a"), (25, "b"), (35, "c")], "k bigint, v string")
     store.create_target(spark, name, df.schema, str(tmp_path / "t"), layout)
-    store.update_target(df.filter("k < 30"), name)
-    with pytest.raises(ValueError, match="wider range"):
+    store.update_target(df, name)
+    before = rows(store.read_target(spark, name))
+    with monkeypatch.context() as m:
+        m.setattr(store, dies_in, lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.replace_target(df.select("k", F.lit(2).alias("w")), name)
+        if layout:
+            touched = store.touched_chunks(df.filter("k > 20"), layout)
+            with pytest.raises(ZeroDivisionError):
+                store.publish_chunks(spark, name, store.write_version(df.filter("k > 30"), name), touched)
+    assert rows(store.read_target(spark, name)) == before
+    if layout:
+        store.publish_chunks(spark, name, store.write_version(df.filter("k > 30"), name), touched)
+        assert rows(store.read_target(spark, name)) == [(1, "a"), (35, "c")]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_old_versions_can_be_removed(spark, rows, place, tmp_path, layout):
+    name = f"{place}.t"
+    df = spark.createDataFrame([(1, "a"), (25, "b")], "k bigint, v string")
+    store.create_target(spark, name, df.schema, str(tmp_path / "t"), layout)
+    for _ in range(3):
         store.update_target(df, name)
-    with pytest.raises(ValueError, match="wider range"):
-        store.touched_chunks(df, layout)
-    assert store.read_target(spark, name).count() == 30
+    if layout:
+        touched = store.touched_chunks(df.filter("k > 20"), layout)
+        store.publish_chunks(spark, name, store.write_version(df.filter("k > 20"), name), touched)
+    now = dt.datetime.now()
+    assert store.remove_old_versions(spark, name, now - dt.timedelta(hours=1)) == []
+    assert len(store.remove_old_versions(spark, name, now + dt.timedelta(hours=1))) == 2
+    assert rows(store.read_target(spark, name)) == rows(df)
 
 
 def test_hot_partition_is_written_by_several_tasks(spark, conf, place, tmp_path):

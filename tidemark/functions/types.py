@@ -25,20 +25,29 @@ SPARK_TYPES = {
     "DATE": T.DateType(),
     "DATETIME": T.TimestampNTZType(),
     "TIMESTAMP": T.TimestampType(),
+    # A number without precision keeps its fraction.
+    "NUMERIC": T.DecimalType(38, 9),
+    "BIGNUMERIC": T.DecimalType(38, 18),
+    # Names of storage types are types too.
+    "FLOAT64": T.DoubleType(),
+    "INT64": T.LongType(),
+    "BOOL": T.BooleanType(),
+    "JSON": T.StringType(),
 }
 
 SIZED_STRING = r"^STRING\(\d+\)$"
 SIZED_NUMERIC = r"^NUMERIC\(\d+,\s*\d+\)$"
-NO_TYPE = ("", "()", "None")
+NO_TYPE = ("", "()", "NONE")
 
 
 def normalized_type(type_text: Column) -> Column:
-    """Drop the size from a type name; null where there is no type at all."""
+    """The type name in capitals, without padding and size; null where there is no type at all."""
+    text = F.upper(F.trim(type_text))
     return (
-        F.when(type_text.isin(*NO_TYPE), F.lit(None).cast("string"))
-        .when(type_text.rlike(SIZED_STRING), F.lit("STRING"))
-        .when(type_text.rlike(SIZED_NUMERIC), F.lit("FLOAT"))
-        .otherwise(type_text)
+        F.when(text.isin(*NO_TYPE), F.lit(None).cast("string"))
+        .when(text.rlike(SIZED_STRING), F.lit("STRING"))
+        .when(text.rlike(SIZED_NUMERIC), F.lit("FLOAT"))
+        .otherwise(text)
     )
 
 
@@ -49,9 +58,9 @@ def storage_type(type_text: Column) -> Column:
 
 
 def declared_type(type_text: str | None) -> str | None:
-    """Driver-side twin of `normalized_type`, for the few rows of a declared schema."""
-    text = (type_text or "").strip().upper()
-    if text in ("", "()", "NONE"):
+    """The same rule as `normalized_type`, on the driver, for the few rows of a declared schema."""
+    text = (type_text or "").strip(" ").upper()
+    if text in NO_TYPE:
         return None
     if re.match(SIZED_STRING, text):
         return "STRING"
@@ -65,4 +74,7 @@ def spark_type(type_text: str) -> T.DataType:
     name = declared_type(type_text)
     if name is None:
         raise ValueError(f"no type declared: {type_text!r}")
+    sized = re.fullmatch(r"(?:BIG)?NUMERIC\((\d+)\)", name)
+    if sized:
+        return T.DecimalType(min(38, int(sized[1]) + 9), 9)
     return SPARK_TYPES.get(name) or T.DataType.fromDDL(name)

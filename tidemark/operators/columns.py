@@ -14,6 +14,7 @@ from tidemark.functions.types import declared_type
 
 STAMP = "updated_at"
 BAD_CELLS = "bad_cells"
+BAD_DATE = "bad_date"
 
 # Text of these declared types that cannot be read becomes null without failing the load.
 LENIENT_TYPES = ("DATE",)
@@ -69,12 +70,16 @@ def conform(
     *,
     count_bad: bool = False,
     lenient: Sequence[str] = LENIENT_TYPES,
+    bad_date: str | None = None,
 ) -> DataFrame:
     """One projection from `df` to the declared columns and types.
 
     Declared columns that `df` lacks become null, undeclared ones go. With `count_bad`, `bad_cells`
-    holds the number of cells per row whose text could not be read, `lenient` types left out.
+    holds the number of cells per row whose text could not be read, `lenient` types left out, or that are
+    null though the column is declared REQUIRED. With `bad_date`, the column of that name tells whether the text of
+    the date column it names could not be read.
     """
+    unread = F.lit(False)
     have = {f.name.lower(): f for f in df.schema}
     columns: list[Column] = []
     bad: list[Column] = []
@@ -85,14 +90,22 @@ def conform(
         source = have.get(field.name.lower())
         if source is None:
             columns.append(F.lit(None).cast(want).alias(field.name))
+            bad += [F.lit(1)] if not field.nullable else []
             continue
         raw = F.col(f"`{source.name}`")
         value = cleaned(raw, source.dataType, want)
         columns.append(value.alias(field.name))
-        if source.dataType != want and field.type not in lenient:
-            bad.append((raw.isNotNull() & value.isNull()).cast("int"))
+        broken = raw.isNotNull() & value.isNull()
+        if source.dataType != want and bad_date and field.name.lower() == bad_date.lower():
+            unread = broken
+        if not field.nullable:
+            bad.append(value.isNull().cast("int"))
+        elif source.dataType != want and field.type not in lenient:
+            bad.append(broken.cast("int"))
     if count_bad:
         columns.append(reduce(lambda a, b: a + b, bad, F.lit(0)).alias(BAD_CELLS))
+    if bad_date:
+        columns.append(unread.alias(BAD_DATE))
     return df.select(*columns)
 
 

@@ -81,8 +81,17 @@ def _merge_and_add(
     keys: Sequence[str],
     newer_by: str | None,
     broadcast_keys: bool,
+    unique: bool,
 ) -> DataFrame:
-    """The same as a full join in two parts, which may broadcast the source and split a hot target key."""
+    """The same as a full join in parts. With broadcast keys only the target rows that match are joined, all
+    others pass through; without, the join of the whole target can split a hot target key."""
+    if broadcast_keys:
+        kept = key_join(target, keys_from, keys, "left_anti", broadcast=True)
+        target = key_join(target, keys_from, keys, "left_semi", broadcast=True)
+        if unique:
+            return kept.unionByName(_merge(target, rows, keys, newer_by, "full"))
+        merged = _merge_and_add(target, rows, keys_from, keys, newer_by, False, False)
+        return kept.unionByName(merged)
     updated = _merge(target, rows, keys, newer_by, "left")
     matched = key_join(target.select(*keys), keys_from, keys, "left_semi", broadcast=broadcast_keys)
     added = key_join(rows, matched, keys, "left_anti")
@@ -117,7 +126,7 @@ def upsert(
         return _replace(target, source, keys_from, keys, broadcast_keys)
     if target_keys_unique and not broadcast_keys:
         return _merge(target, source, keys, only_if_newer, "full")
-    return _merge_and_add(target, source, keys_from, keys, only_if_newer, broadcast_keys)
+    return _merge_and_add(target, source, keys_from, keys, only_if_newer, broadcast_keys, target_keys_unique)
 
 
 def upsert_latest(

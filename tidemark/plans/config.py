@@ -13,8 +13,8 @@ class TableConfig:
 
     `reduce` keeps the newest source row per key before the upsert; without it source keys must be unique.
     `batch_key` is the column whose ranges of `batch_range` keys form the chunks of a load.
-    `layout_range` stores the target in one partition per so many values of the first key, so that a refresh
-    rewrites only the partitions it touches. Choose it for some thousands of partitions in all.
+    `layout_range` stores the target in chunks of so many values of the first key, so that a refresh rewrites only the
+    chunks it touches; a key that is not an integer is stored in hash buckets. Choose it for some thousands of chunks.
     """
 
     table: str
@@ -30,12 +30,15 @@ class TableConfig:
         return self.batch_key or self.keys[0]
 
 
+#: The layout of the tables that grow without end.
+LAYOUT_RANGE = 1_000_000
+
 # Table, key columns, date column, chunk column where it is not the key.
 TABLE_CONFIGS = {
     c.table: c
     for c in (
         TableConfig("Account", ("id",), "lastmodifieddate"),
-        TableConfig("transactionLine", ("uniquekey",), "linelastmodifieddate"),
+        TableConfig("transactionLine", ("uniquekey",), "linelastmodifieddate", layout_range=LAYOUT_RANGE),
         TableConfig("AccountingPeriod", ("id",), "lastmodifieddate"),
         TableConfig("CUSTOMRECORD_360_COMMISSION_RULE", ("id",), "lastmodified"),
         TableConfig("CUSTOMRECORD_360_COMMISSION_TRACKING", ("id",), "lastmodified"),
@@ -44,7 +47,7 @@ TABLE_CONFIGS = {
         TableConfig("employee", ("id",), "lastmodifieddate"),
         TableConfig("entity", ("id",), "lastmodifieddate"),
         TableConfig("item", ("id",), "lastmodifieddate"),
-        TableConfig("transaction", ("id",), "lastmodifieddate"),
+        TableConfig("transaction", ("id",), "lastmodifieddate", layout_range=LAYOUT_RANGE),
         TableConfig("invoiceSalesTeam", ("id",), "lastmodifieddate", "transaction"),
         TableConfig("transactionSalesTeam", ("id",), "lastmodifieddate", "transaction"),
     )

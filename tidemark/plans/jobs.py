@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.audit import audit_total, load_audit
-from tidemark.operators.columns import BAD_CELLS, STAMP, Field, align, conform, declared_schema, stamp_load
+from tidemark.operators.columns import BAD_CELLS, BAD_DATE, STAMP, Field, align, conform, declared_schema, stamp_load
 from tidemark.operators.control import (
     PERIODIC_REFRESH,
     RELOAD_ALWAYS,
@@ -20,7 +21,8 @@ from tidemark.operators.control import (
 )
 from tidemark.operators.dedupe import drop_exact_duplicates, latest_per_key, require_unique_keys
 from tidemark.operators.evolve import add_columns, missing_fields
-from tidemark.operators.ranges import CHUNK_RANGE, LOOKBACK_DAYS, PAGE_ROWS, chunk_of, recent_window
+from tidemark.functions import days_before
+from tidemark.operators.ranges import LOOKBACK_DAYS, PAGE_ROWS, chunk_of, recent_window
 from tidemark.operators.skew import known
 from tidemark.operators.upsert import BROADCAST_KEY_BYTES, fill_columns, key_bytes, upsert
 from tidemark.plans.config import TableConfig
@@ -28,6 +30,7 @@ from tidemark.plans.store import (
     CHUNK,
     Layout,
     create_target,
+    crowded,
     gather_chunks,
     layout_of,
     publish,
@@ -38,21 +41,32 @@ from tidemark.plans.store import (
     update_target,
     write_version,
 )
-from tidemark.sources.sinks import create_schema, drop, drop_schema, fresh_schema
+from tidemark.sources.sinks import append, create_schema, create_table, drop, drop_schema, fresh_schema
 from tidemark.workspace import new_folder
 
 
+#: Hash chunks and batches of the audit where the chunk key is not a number.
+HASH_CHUNKS, HASH_BATCHES = 64, 6400
+#: Hash buckets of a target whose key has no ranges.
+BUCKETS = 256
+
+
 class LoadFailed(RuntimeError):
-    """A load with unreadable cells, or a reload without rows; the target was left as it was."""
+    """A strict load with unreadable cells, or a reload without rows; the target was left as it was."""
 
 
 @dataclass(frozen=True)
 class Result:
+    """`uploaded` rows were read well, `rejected` ones are in the rejects table; rows whose date could not be read
+    (`bad_dates`) are uploaded without it."""
+
     table: str
     action: str
     uploaded: int = 0
     new_columns: tuple[str, ...] = ()
     error: str | None = None
+    rejected: int = 0
+    bad_dates: int = 0
 
 
 @dataclass(frozen=True)
@@ -65,10 +79,15 @@ class Run:
     as_of: dt.date
     load_ts: dt.datetime | Column
     lookback_days: int = LOOKBACK_DAYS
+    #: A name of its own: another run of the same schema does not touch its staging tables.
+    number: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
     @property
     def staging(self) -> str:
-        return f"{self.schema}_staging"
+        return f"{self.schema}_staging_{self.number}"
+
+    def moment(self) -> Column:
+        return self.load_ts if isinstance(self.load_ts, Column) else F.lit(self.load_ts)
 
     def target(self, config: TableConfig) -> str:
         return f"{self.schema}.{config.table}"
@@ -76,6 +95,27 @@ class Run:
     def staged(self, config: TableConfig) -> str:
         return f"{self.staging}.{config.table}_staging"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.schema}.load_rejects"
+
+    @property
+    def audits(self) -> str:
+        return f"{self.schema}.load_audit"
+
+
+def _columns(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+REJECTS = _columns(
+    table_name=T.StringType(), load_ts=T.TimestampType(), chunk_id=T.LongType(), reason=T.StringType(), row=T.StringType()
+)
+AUDITS = _columns(
+    table_name=T.StringType(), load_ts=T.TimestampType(), chunk_id=T.LongType(), batches=T.LongType(),
+    uploaded=T.LongType(), failed=T.LongType(), succeeded=T.BooleanType(),
+)
+
 
 def open_run(
     spark: SparkSession,
@@ -89,6 +129,8 @@ def open_run(
     """Create the schema where missing and an empty staging schema. Targets live under `root`."""
     run = Run(spark, schema, root or new_folder(spark, schema), as_of, load_ts, lookback_days)
     create_schema(spark, schema, f"{run.root}/tables")
+    create_table(spark, run.rejects, REJECTS)
+    create_table(spark, run.audits, AUDITS)
     fresh_schema(spark, run.staging, new_folder(spark, run.staging))
     return run
 
@@ -103,13 +145,21 @@ def target_schema(fields: Sequence[Field]) -> T.StructType:
     return schema if STAMP in {n.lower() for n in schema.names} else schema.add(STAMP, T.TimestampType())
 
 
+def _named(schema: T.StructType, name: str) -> T.StructField:
+    """The field of that name in any letter case."""
+    found = [f for f in schema if f.name.lower() == name.lower()]
+    if not found:
+        raise ValueError(f"there is no column {name}")
+    return found[0]
+
+
 def ensure_target(run: Run, config: TableConfig, fields: Sequence[Field]) -> str:
     """The target's name; an empty target with the declared columns is created where there is none."""
     name, schema, layout = run.target(config), target_schema(fields), None
     if config.layout_range:
-        layout = Layout(config.keys[0], config.layout_range)
-        if not isinstance(schema[layout.key].dataType, T.IntegralType):
-            raise ValueError(f"{config.table}: only an integer key has ranges, not {layout.key}")
+        keys = tuple(_named(schema, k).name for k in config.keys)
+        ranges = isinstance(_named(schema, keys[0]).dataType, T.IntegralType)
+        layout = Layout(keys[0], config.layout_range) if ranges else Layout(keys[0], None, BUCKETS, keys[1:])
     create_target(run.spark, name, schema, f"{run.root}/{config.table}", layout)
     return name
 
@@ -126,72 +176,113 @@ def read_fields(config: TableConfig, fields: Sequence[Field]) -> list[Field]:
     return list(fields) if dated else [*fields, Field(config.date_col, "DATE")]
 
 
-def _clean(run: Run, source: DataFrame, fields: Sequence[Field], needed: Sequence[str] = ()) -> DataFrame:
+def _clean(
+    run: Run, source: DataFrame, fields: Sequence[Field], needed: Sequence[str] = (), bad_date: str | None = None
+) -> DataFrame:
     """Conformed and stamped rows; the `needed` columns must be in the source."""
     lacking = {n.lower() for n in needed} - {c.lower() for c in source.columns}
     if lacking:
         raise ValueError(f"the source lacks the columns {sorted(lacking)}")
-    return stamp_load(conform(source, fields, count_bad=True), run.load_ts)
+    return stamp_load(conform(source, fields, count_bad=True, bad_date=bad_date), run.load_ts)
 
 
 def _recent(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> DataFrame:
-    """Clean rows of the recent window. A typed date column is tested in the source, where the filter reaches the scan."""
+    """Clean rows of the recent window. A typed date column is tested in the source, where the filter reaches the scan.
+
+    A row whose date is text that cannot be read may be recent: it stays, without its date, and is marked.
+    """
     needed, read = [*config.keys, config.date_col], read_fields(config, fields)
     window = (config.date_col, run.as_of, run.lookback_days)
     kind = next((f.dataType for f in source.schema if f.name.lower() == config.date_col.lower()), None)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return _clean(run, recent_window(source, *window), read, needed)
-    return recent_window(_clean(run, source, read, needed), *window)
+        return _clean(run, recent_window(source, *window), read, needed, config.date_col)
+    rows = _clean(run, source, read, needed, config.date_col)
+    return rows.filter((F.col(window[0]) >= days_before(*window[1:])) | F.col(BAD_DATE))
 
 
 def _stage(run: Run, name: str, rows: DataFrame) -> DataFrame:
     """Write a staging table and read it back: later steps start from stored rows."""
+    if not run.spark.catalog.databaseExists(run.staging):
+        fresh_schema(run.spark, run.staging, new_folder(run.spark, run.staging))
     drop(run.spark, name)
     rows.write.format("parquet").saveAsTable(name)
     return run.spark.table(name)
 
 
-def _chunk(df: DataFrame, key: str, size: int) -> Column:
-    if isinstance(df.schema[key].dataType, T.NumericType):
-        return chunk_of(F.col(key), F.lit(0), size)
-    return F.pmod(F.xxhash64(key), F.lit(CHUNK_RANGE // size))
+def _chunk(df: DataFrame, key: str, size: int, hashed: int) -> Column:
+    """Range of a numeric key, hash bucket of another."""
+    found = _named(df.schema, key)
+    if isinstance(found.dataType, T.NumericType):
+        return chunk_of(F.col(f"`{found.name}`"), F.lit(0), size)
+    return F.pmod(F.xxhash64(f"`{found.name}`"), F.lit(hashed))
 
 
-def audit_staged(config: TableConfig, staged: DataFrame) -> DataFrame:
-    """Load audit of a staging table, one row per key chunk."""
+def audit_staged(config: TableConfig, staged: DataFrame, *, by_row: bool = False) -> DataFrame:
+    """Load audit of a staging table, one row per key chunk. One bad row fails its batch, or with `by_row` only itself."""
+    batch = F.monotonically_increasing_id() if by_row else _chunk(staged, config.chunk_key, PAGE_ROWS, HASH_BATCHES)
     parts = staged.select(
-        _chunk(staged, config.chunk_key, config.batch_range).alias("chunk_id"),
-        _chunk(staged, config.chunk_key, PAGE_ROWS).alias("batch_id"),
+        _chunk(staged, config.chunk_key, config.batch_range, HASH_CHUNKS).alias("chunk_id"),
+        batch.alias("batch_id"),
         BAD_CELLS,
     )
     return load_audit(parts, "chunk_id", "batch_id", F.col(BAD_CELLS) == 0)
 
 
-def merge_staged(run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False) -> int:
-    """Upsert a staging table into its target; the number of staged rows. Raises before any change if a row is bad."""
+def _report(run: Run, config: TableConfig, rows: DataFrame, *, strict: bool) -> None:
+    """Store the audit of checked rows by chunk, and every bad row with its chunk and reason."""
+    told = [F.lit(config.table).alias("table_name"), run.moment().cast("timestamp").alias("load_ts")]
+    bad = rows.filter(F.col(BAD_CELLS) > 0).select(
+        *told,
+        _chunk(rows, config.chunk_key, config.batch_range, HASH_CHUNKS).alias("chunk_id"),
+        F.concat(F.col(BAD_CELLS), F.lit(" unreadable or missing cells")).alias("reason"),
+        F.to_json(F.struct(*[f"`{c}`" for c in rows.columns if c not in (BAD_CELLS, BAD_DATE)])).alias("row"),
+    )
+    append(bad, run.rejects)
+    audit = audit_staged(config, rows, by_row=not strict)
+    append(audit.select(*told, "*"), run.audits)
+
+
+def merge_staged(
+    run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False, strict: bool = True
+) -> Result:
+    """Upsert a staging table into its target, and store its audit.
+
+    Bad rows are stored in the rejects table. If strict, any of them fails the load before the target is changed;
+    otherwise the good rows are merged.
+    """
     spark, name, keys = run.spark, run.target(config), list(config.keys)
+    if BAD_DATE not in staged.columns:
+        staged = staged.withColumn(BAD_DATE, F.lit(False))
     facts = staged.agg(
-        F.count("*").alias("n"), F.count_if(F.col(BAD_CELLS) > 0).alias("bad"), key_bytes(keys).alias("key_bytes")
+        F.count_if(F.col(BAD_CELLS) == 0).alias("n"),
+        F.count_if(F.col(BAD_CELLS) > 0).alias("bad"),
+        F.count_if(F.col(BAD_DATE) & (F.col(BAD_CELLS) == 0)).alias("bad_dates"),
+        key_bytes(keys).alias("key_bytes"),
     ).first()
-    if facts["bad"]:
+    stored = {c.lower() for c in read_target(spark, name).columns}
+    if only_if_newer and config.date_col.lower() not in stored:
+        raise ValueError(f"{config.table}: to keep newer rows the target must store {config.date_col}; declare it")
+    _report(run, config, staged, strict=strict)
+    if facts["bad"] and strict:
         total = audit_total(audit_staged(config, staged)).first()
         raise LoadFailed(f"{config.table}: {facts['bad']} unreadable rows, {total['failed']} in their batches")
+    done = Result(config.table, "refresh", facts["n"], rejected=facts["bad"], bad_dates=facts["bad_dates"])
     if not facts["n"]:
-        return 0
+        return done
+    staged = staged.filter(F.col(BAD_CELLS) == 0) if facts["bad"] else staged
     small = facts["key_bytes"] <= BROADCAST_KEY_BYTES
-    staged_rows = staged.drop(BAD_CELLS)
+    staged_rows = staged.drop(BAD_CELLS, BAD_DATE)
     if config.reduce:
         rows = latest_per_key(staged_rows, keys, config.date_col)
     else:
         rows = require_unique_keys(drop_exact_duplicates(staged_rows), keys)
-    stored = {c.lower() for c in read_target(spark, name).columns}
     rows = rows.select(*[c for c in rows.columns if c.lower() in stored])
-    newer_by = config.date_col if only_if_newer and config.date_col.lower() in stored else None
+    newer_by = config.date_col if only_if_newer else None
     options = {"only_if_newer": newer_by, "keys_from": staged, "broadcast_keys": small}
     layout = layout_of(spark, name)
-    if layout is None:
+    if layout is None or crowded(spark, name):
         update_target(upsert(read_target(spark, name), rows, keys, **options), name)
-        return facts["n"]
+        return done
     chunks = touched_chunks(staged, layout)
     # With broadcast keys the target's rows stay in the tasks that read them, a partition or few in each.
     gathered = small and not newer_by
@@ -199,40 +290,52 @@ def merge_staged(run: Run, config: TableConfig, staged: DataFrame, *, only_if_ne
         rows = gather_chunks(rows, layout).drop(CHUNK)
     merged = upsert(read_chunks(spark, name, chunks), rows, keys, **options)
     publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks)
-    return facts["n"]
+    return done
+
 
+def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame, *, strict: bool = True) -> Result:
+    """Add and backfill newly declared columns, then upsert the rows changed in the recent window.
 
-def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
-    """Add and backfill newly declared columns, then upsert the rows changed in the recent window."""
+    If strict, as by default, one bad row fails the refresh; otherwise bad rows are rejected and the others merged.
+    """
     ensure_target(run, config, fields)
     filled = backfill(run, config, fields, source)
     staged = _stage(run, run.staged(config), _recent(run, config, fields, source))
-    uploaded = merge_staged(run, config, staged)
+    done = merge_staged(run, config, staged, strict=strict)
     drop(run.spark, run.staged(config))
-    return Result(config.table, "refresh", uploaded, filled.new_columns)
+    return replace(done, new_columns=filled.new_columns)
+
 
+def full_load(
+    run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame, *, strict: bool = False
+) -> Result:
+    """Replace the target by the good rows of the whole source: one write, published only if it has rows.
 
-def full_load(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
-    """Replace the target by the whole source: one write, published only if it has rows and every cell could be read."""
+    Bad rows are stored in the rejects table and counted. If strict, any of them fails the load.
+    """
     name = ensure_target(run, config, fields)
     wanted = target_schema(fields)
     seen = Observation()
     # A retried task may count a row twice, which leaves "none" and "some" right.
     counts = F.count("*").alias("n"), F.count_if(F.col(BAD_CELLS) > 0).alias("bad")
-    path = write_version(align(_clean(run, source, fields).observe(seen, *counts), wanted), name)
+    rows = _clean(run, source, fields)
+    good = rows.observe(seen, *counts).filter(F.col(BAD_CELLS) == 0)
+    path = write_version(align(good, wanted), name)
     if seen.get["bad"]:
-        raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells")
-    if not seen.get["n"]:
+        _report(run, config, rows, strict=strict)
+        if strict:
+            raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells")
+    rejected = rows.filter(F.col(BAD_CELLS) > 0).count() if seen.get["bad"] else 0
+    if not seen.get["n"] or rejected and run.spark.read.schema(wanted).parquet(path).isEmpty():
         raise LoadFailed(f"{config.table}: the source has no rows")
     publish(run.spark, name, path, wanted)
-    return Result(config.table, "reload", read_target(run.spark, name).count())
+    return Result(config.table, "reload", read_target(run.spark, name).count(), rejected=rejected)
 
 
 def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
     """Add declared columns the target lacks and set them, and only them, from the whole source.
 
-    The filled version is in place before the columns are declared, so that a job that dies in between
-    finds them missing again and starts over.
+    Columns and values are put in place together. Any unreadable cell of the new columns fails the backfill.
     """
     spark, name, keys = run.spark, run.target(config), list(config.keys)
     new = new_fields(run, config, fields)
@@ -243,17 +346,18 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
     read = [f for f in read_fields(config, fields) if f.name.lower() in wanted]
     rows = _clean(run, source, read, [*keys, config.date_col]).drop(STAMP)
     rows = rows.filter(known(keys) | (F.col(BAD_CELLS) > 0))
+    # Counted before rows are reduced: a bad cell in a row that another supersedes counts here as in a refresh.
+    seen = Observation()
+    rows = rows.observe(seen, F.count_if(F.col(BAD_CELLS) > 0).alias("bad"))
     rows = latest_per_key(rows, keys, config.date_col) if config.reduce else drop_exact_duplicates(rows)
     staged = _stage(run, run.staged(config), rows)
-    bad = staged.agg(F.count_if(F.col(BAD_CELLS) > 0).alias("bad")).first()["bad"]
-    if bad:
-        raise LoadFailed(f"{config.table}: {bad} rows with unreadable cells in new columns")
+    if seen.get["bad"]:
+        raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells in new columns")
     if not config.reduce:
         require_unique_keys(staged, keys)
     target = add_columns(read_target(spark, name), new)
-    publish(spark, name, write_version(fill_columns(target, staged, keys, names), name))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared_schema(new))
-    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    filled = fill_columns(target, staged, keys, names)
+    publish(spark, name, write_version(filled, name), filled.schema)
     drop(spark, run.staged(config))
     return Result(config.table, "backfill", new_columns=tuple(names))
 
@@ -291,8 +395,8 @@ def sync(
             continue
         try:
             results.append(step(run, configs[table], sources[table].fields, sources[table].rows))
-        except (LoadFailed, ValueError) as failure:
-            results.append(Result(table, "none", error=str(failure)))
+        except Exception as failure:  # whatever is wrong with one table, the others are synced and it is reported
+            results.append(Result(table, "none", error=f"{type(failure).__name__}: {failure}"))
             continue
         if chosen[table] == RELOAD_ONCE:
             reloaded.append(table)

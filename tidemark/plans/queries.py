@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -173,8 +174,9 @@ def key_chunk_rows(spark, sf):
 def append_batches(spark, sf):
     orders = _read(spark, sf, "orders")
     name = _table(spark, "orders_appended", orders.schema)
-    sinks.append(orders.filter(F.col("o_orderdate") >= DAY), name)
-    sinks.append(orders.filter(F.col("o_orderdate") < DAY).drop("o_orderpriority"), name)
+    recent = F.coalesce(F.col("o_orderdate") >= DAY, F.lit(False))
+    sinks.append(orders.filter(recent), name)
+    sinks.append(orders.filter(~recent).drop("o_orderpriority"), name)
     return spark.table(name)
 
 
@@ -182,12 +184,12 @@ def append_batches(spark, sf):
     """
     SELECT * EXCLUDE (l_tax, l_linestatus), l_tax, l_linestatus FROM
     (SELECT * EXCLUDE (l_tax) FROM lineitem WHERE l_returnflag = 'R'
-     UNION ALL BY NAME SELECT * EXCLUDE (l_linestatus) FROM lineitem WHERE l_returnflag <> 'R')
+     UNION ALL BY NAME SELECT * EXCLUDE (l_linestatus) FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'R')
     """
 )
 def page_concat(spark, sf):
     lines = _read(spark, sf, "lineitem")
-    returned = F.col("l_returnflag") == "R"
+    returned = F.col("l_returnflag").eqNullSafe("R")
     return columns.concat_pages(lines.filter(returned).drop("l_tax"), lines.filter(~returned).drop("l_linestatus"))
 
 
@@ -478,12 +480,13 @@ def clean_integer_text(spark, sf):
 
 @query(
     """
-    WITH d AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'STRING(' || l_partkey || ')'
+    WITH r AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN ' string(' || l_partkey || ')'
         WHEN 2 THEN 'NUMERIC(' || l_suppkey || ', 2)' WHEN 3 THEN 'NUMERIC(' || l_suppkey || ')'
-        WHEN 4 THEN '()' WHEN 5 THEN 'None' WHEN 6 THEN 'boolean' ELSE '' END AS t FROM lineitem),
+        WHEN 4 THEN ' () ' WHEN 5 THEN 'none' WHEN 6 THEN 'boolean ' ELSE 'Numeric' END AS t FROM lineitem),
+    d AS (SELECT l_orderkey, l_linenumber, upper(trim(t)) AS t FROM r),
     n AS (SELECT l_orderkey, l_linenumber, CASE WHEN regexp_full_match(t, 'STRING\\(\\d+\\)') THEN 'STRING'
         WHEN regexp_full_match(t, 'NUMERIC\\(\\d+,\\s*\\d+\\)') THEN 'FLOAT' ELSE t END AS declared
-        FROM d WHERE t NOT IN ('', '()', 'None'))
+        FROM d WHERE t NOT IN ('', '()', 'NONE'))
     SELECT *, CASE upper(declared) WHEN 'FLOAT' THEN 'FLOAT64' WHEN 'INTEGER' THEN 'INT64' WHEN 'BOOLEAN' THEN 'BOOL'
         ELSE declared END AS stored FROM n
     """
@@ -491,13 +494,13 @@ def clean_integer_text(spark, sf):
 def normalize_types(spark, sf):
     supplier = F.col("l_suppkey").cast("string")
     text = _variants(
-        F.concat(F.lit("STRING("), F.col("l_partkey").cast("string"), F.lit(")")),
+        F.concat(F.lit(" string("), F.col("l_partkey").cast("string"), F.lit(")")),
         F.concat(F.lit("NUMERIC("), supplier, F.lit(", 2)")),
         F.concat(F.lit("NUMERIC("), supplier, F.lit(")")),
-        F.lit("()"),
-        F.lit("None"),
-        F.lit("boolean"),
-        F.lit(""),
+        F.lit(" () "),
+        F.lit("none"),
+        F.lit("boolean "),
+        F.lit("Numeric"),
     )
     lines = _line_text(spark, sf, text)
     declared = lines.select("l_orderkey", "l_linenumber", normalized_type(F.col("text")).alias("declared"))
@@ -632,10 +635,9 @@ def schema_diff(spark, sf):
     return evolve.schema_diff(declared, stored)
 
 
-@query(f"SELECT *, CAST(NULL AS DOUBLE) AS margin FROM ({_SEEN})")
+@query("SELECT *, CAST(NULL AS DOUBLE) AS margin FROM orders")
 def evolve_add_columns(spark, sf):
-    orders = _read(spark, sf, "orders")
-    return evolve.add_columns(_seen_orders(orders), [Field("O_CUSTKEY", "INTEGER"), Field("margin", "FLOAT")])
+    return evolve.add_columns(_read(spark, sf, "orders"), [Field("O_CUSTKEY", "INTEGER"), Field("margin", "FLOAT")])
 
 
 # ---------------------------------------------------------------- jobs
@@ -670,7 +672,7 @@ def _run(spark: SparkSession, moment: str = FIRST_LOAD) -> jobs.Run:
 
 
 def _later(run: jobs.Run, **changes) -> jobs.Run:
-    return jobs.Run(run.spark, run.schema, run.root, run.as_of, _moment(SECOND_LOAD), **changes)
+    return replace(run, load_ts=_moment(SECOND_LOAD), **changes)
 
 
 def _priced(orders: DataFrame, factor: int) -> DataFrame:
@@ -695,6 +697,54 @@ def full_load(spark, sf):
     return store.read_target(spark, run.target(config))
 
 
+_BAD_DATE = "o_orderkey % 7 = 0"
+_BAD_ROW = "o_orderkey % 11 = 3"
+
+
+@query(
+    f"""
+    SELECT * REPLACE (CASE WHEN {_BAD_DATE} THEN NULL ELSE o_orderdate END AS o_orderdate) FROM ({_FULL})
+    WHERE {_BAD_DATE} OR o_orderdate >= DATE '2000-01-01' - 60
+    """
+)
+def refresh_bad_dates(spark, sf):
+    """Rows whose date text cannot be read may be recent: they arrive, without the date."""
+    text = _order_text(_read(spark, sf, "orders"))
+    broken = F.when(F.col("o_orderkey").cast("bigint") % 14 == 0, F.lit("2000-01-02")).otherwise(F.lit("soon"))
+    text = text.withColumn("o_orderdate", F.when(F.expr(_BAD_DATE), broken).otherwise(F.col("o_orderdate")))
+    run = replace(_run(spark), lookback_days=60)
+    config = TableConfig("orders", ("o_orderkey",), "o_orderdate")
+    jobs.refresh(run, config, ORDER_FIELDS, text)
+    jobs.close_run(run)
+    return store.read_target(spark, run.target(config))
+
+
+@query(
+    f"""
+    SELECT 'loaded' AS what, o_orderkey AS key, o_totalprice AS amount FROM orders WHERE NOT ({_BAD_ROW})
+    UNION ALL SELECT 'rejected', o_orderkey, NULL FROM orders WHERE {_BAD_ROW}
+    UNION ALL SELECT 'audited', o_orderkey // 100000, COUNT(*) FILTER ({_BAD_ROW}) FROM orders GROUP BY ALL
+    """
+)
+def load_with_rejects(spark, sf):
+    """Unreadable rows do not stop a load: they are stored as rejects, and the audit counts them by chunk."""
+    text = _order_text(_read(spark, sf, "orders"))
+    text = text.withColumn("o_totalprice", F.when(F.expr(_BAD_ROW), F.lit("much")).otherwise(F.col("o_totalprice").cast("string")))
+    run = _run(spark)
+    config = TableConfig("orders", ("o_orderkey",), "o_orderdate")
+    jobs.full_load(run, config, ORDER_FIELDS, text)
+    jobs.close_run(run)
+    loaded = store.read_target(spark, run.target(config)).select(
+        F.lit("loaded").alias("what"), F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount")
+    )
+    key = F.get_json_object("row", "$.o_orderkey").cast("bigint").alias("key")
+    rejected = spark.table(run.rejects).select(F.lit("rejected").alias("what"), key)
+    audited = spark.table(run.audits).select(
+        F.lit("audited").alias("what"), F.col("chunk_id").alias("key"), F.col("failed").cast("double").alias("amount")
+    )
+    return columns.concat_pages(loaded, rejected, audited)
+
+
 def _refreshed(spark, sf, config: TableConfig) -> DataFrame:
     orders = _read(spark, sf, "orders")
     run = _run(spark)
@@ -814,8 +864,8 @@ def stream_refresh_latest(spark, sf):
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value"
     )
     landed = new_folder(spark, "landed")
-    for kind in ("view", "click", "error", "signup", "purchase"):
-        pages.land_pages(events.filter(F.col("event_type") == kind), landed)
+    for turn in range(5):
+        pages.land_pages(events.filter(F.pmod(F.xxhash64("event_id"), F.lit(5)) == turn), landed)
     run = _run(spark)
     config = TableConfig("events", ("user_id", "event_type"), "event_id")
     stream = stream_refresh(run, config, EVENT_FIELDS, landed, new_folder(spark, "progress"), files_per_batch=3)

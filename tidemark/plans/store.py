@@ -1,16 +1,18 @@
-"""Stored targets: parquet tables whose new versions are written aside and then put in place.
+"""Stored targets: views over parquet versions that are written aside and then put in place by one statement.
 
-Parquet tables of the session catalog know no MERGE and cannot be overwritten while they are read. A new
-version is written to a folder of its own; then the catalog is pointed to it. Readers see the old version
-until then, and a job that dies before that point has changed nothing and can be run again. The folders of
-older versions stay where they are.
+Parquet tables of the session catalog know no MERGE and cannot be overwritten while they are read. A new version is
+written to a folder of its own; then the target's view is replaced, schema, folders and properties at once. Readers see
+the old version until then, and a job that dies before that point has changed nothing and can be run again.
 
-A target with a layout is partitioned by ranges of its key. A refresh writes only the partitions it touches
-and points the catalog to those, so its cost follows the changed key ranges and not the table.
+A target with a layout keeps its rows in chunks, ranges of an integer key or hash buckets of any other. A refresh writes
+only the chunks it touches, to a new folder, and the view takes each chunk from the folder that the target's manifest, a
+small table, names for it. So its cost follows the changed chunks and not the table, and putting them in place is one
+statement for any number of them. A target of many folders is written anew by the next refresh.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 
@@ -19,24 +21,37 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.operators.columns import align
 from tidemark.operators.ranges import chunk_of
 
-# The catalog and the driver handle so many partitions of one table; a layout that gives more is refused.
-MOST_PARTITIONS = 20_000
-
 CHUNK = "key_chunk"
-NO_CHUNK = "__HIVE_DEFAULT_PARTITION__"
+#: The chunk of rows without a key.
+NO_CHUNK = -(1 << 62)
+#: A refresh of a target with so many folders writes it anew in one.
+MOST_FOLDERS = 8
+#: So many touched chunks are listed in the plan, where they prune folders before the scan; more are joined.
+LISTED_CHUNKS = 1000
 
 _ROOT = "tidemark.root"
-_KEY = "tidemark.layout.key"
+_KEYS = "tidemark.layout.keys"
 _RANGE = "tidemark.layout.range"
+_BUCKETS = "tidemark.layout.buckets"
+_FOLDERS = "tidemark.folders"
+_MANIFEST = "tidemark.manifest"
 
 
 @dataclass(frozen=True)
 class Layout:
+    """Chunks of `range` values of an integer key, or, without a range, `buckets` hash buckets of all keys."""
+
     key: str
-    range: int
+    range: int | None = None
+    buckets: int | None = None
+    more_keys: tuple[str, ...] = ()
 
     def chunk(self) -> Column:
-        return chunk_of(F.col(self.key), F.lit(0), self.range)
+        key = F.col(f"`{self.key}`")
+        if self.range:
+            return F.coalesce(chunk_of(key, F.lit(0), self.range), F.lit(NO_CHUNK)).cast("bigint")
+        keys = [key, *(F.col(f"`{k}`") for k in self.more_keys)]
+        return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(self.buckets)).cast("bigint")
 
 
 def _properties(spark: SparkSession, name: str) -> dict[str, str]:
@@ -44,7 +59,15 @@ def _properties(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def _layout(properties: dict[str, str]) -> Layout | None:
-    return Layout(properties[_KEY], int(properties[_RANGE])) if _KEY in properties else None
+    if _KEYS not in properties:
+        return None
+    key, *more = properties[_KEYS].split("\t")
+    number = lambda p: int(properties[p]) if properties.get(p) else None
+    return Layout(key, number(_RANGE), number(_BUCKETS), tuple(more))
+
+
+def _folders(properties: dict[str, str]) -> list[str]:
+    return [f for f in properties.get(_FOLDERS, "").split("\t") if f]
 
 
 def layout_of(spark: SparkSession, name: str) -> Layout | None:
@@ -55,19 +78,41 @@ def create_target(
     spark: SparkSession, name: str, schema: T.StructType, root: str, layout: Layout | None = None
 ) -> None:
     """An empty target under the folder `root`; an existing one is left alone."""
-    if spark.catalog.tableExists(name):
-        return
-    _create(spark, name, schema, root, layout, f"{root}/{uuid.uuid4().hex}")
-
-
-def _create(spark, name, schema, root, layout, path) -> None:
-    """Register a table over `path` without touching what is there."""
-    columns = [*schema.fields, *([T.StructField(CHUNK, T.LongType())] if layout else [])]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    properties = {_ROOT: root} | ({_KEY: layout.key, _RANGE: str(layout.range)} if layout else {})
+    if not spark.catalog.tableExists(name):
+        _point(spark, name, schema, root, layout, [])
+
+
+def _point(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    root: str,
+    layout: Layout | None,
+    folders: list[str],
+    manifest: str = "",
+) -> None:
+    """Replace the target's view, in one statement. Without a manifest there is at most one folder."""
+    fields = [f for f in schema if f.name != CHUNK]
+    columns = ", ".join(f"d.`{f.name}`" for f in fields)
+    chunk = f", CAST(d.`{CHUNK}` AS BIGINT) AS `{CHUNK}`" if layout else ""
+    if not folders:
+        nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields]
+        nulls += [f"CAST(NULL AS BIGINT) AS `{CHUNK}`"] if layout else []
+        query = f"SELECT {', '.join(nulls)} FROM VALUES (0) WHERE false"
+    elif not manifest:
+        query = f"SELECT {columns}{chunk} FROM parquet.`{folders[0]}` d"
+    else:
+        query = " UNION ALL ".join(
+            f"SELECT {columns}{chunk} FROM parquet.`{f}` d LEFT SEMI JOIN parquet.`{manifest}` m "
+            f"ON d.`{CHUNK}` = m.chunk AND m.folder = '{f}'"
+            for f in folders
+        )
+    properties = {_ROOT: root, _FOLDERS: "\t".join(folders), _MANIFEST: manifest}
+    if layout:
+        properties[_KEYS] = "\t".join([layout.key, *layout.more_keys])
+        properties |= {_RANGE: str(layout.range or ""), _BUCKETS: str(layout.buckets or "")}
     pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-    partitions = f"PARTITIONED BY ({CHUNK})" if layout else ""
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {partitions} LOCATION '{path}' TBLPROPERTIES ({pairs})")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({pairs}) AS {query}")
 
 
 def read_target(spark: SparkSession, name: str) -> DataFrame:
@@ -75,15 +120,15 @@ def read_target(spark: SparkSession, name: str) -> DataFrame:
 
 
 def gather_chunks(df: DataFrame, layout: Layout) -> DataFrame:
-    """Rows of a partition together: AQE joins small partitions in a task and splits a large one over several."""
+    """Rows of a chunk together: AQE joins small chunks in a task and splits a large one over several."""
     return df.withColumn(CHUNK, layout.chunk()).hint("rebalance", CHUNK)
 
 
 def write_version(df: DataFrame, name: str, *, gathered: bool = False) -> str:
     """Write `df` as a version of the target without showing it to readers; the folder written.
 
-    With a layout, rows are gathered by partition, so that a partition has few files and a hot one does
-    not meet in one task. `gathered` says that each task of `df` already holds few partitions.
+    With a layout, rows are gathered by chunk, so that a chunk has few files and a hot one does
+    not meet in one task. `gathered` says that each task of `df` already holds few chunks.
     """
     spark = df.sparkSession
     properties = _properties(spark, name)
@@ -96,35 +141,50 @@ def write_version(df: DataFrame, name: str, *, gathered: bool = False) -> str:
     return path
 
 
-def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def _filesystem(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a version in chunks has any: without rows it has no file, and so no schema."""
+    files, place = _filesystem(spark, path)
+    return any(f.getPath().getName().startswith(f"{CHUNK}=") for f in files.listStatus(place))
 
 
 def publish(spark: SparkSession, name: str, path: str, schema: T.StructType | None = None) -> None:
-    """Make the version at `path` the whole target. A changed schema registers the table anew."""
-    stored, properties = read_target(spark, name).schema, _properties(spark, name)
-    layout, root = _layout(properties), properties[_ROOT]
-    if schema is not None and _shape(schema) != _shape(stored):
-        spark.sql(f"DROP TABLE {name}")
-        if layout is None:
-            _create(spark, name, schema, root, None, path)
-            return
-        _create(spark, name, schema, root, layout, f"{root}/{uuid.uuid4().hex}")
-    if layout is None:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    """Make the version at `path` the whole target, with its schema."""
+    properties, schema = _properties(spark, name), schema or read_target(spark, name).schema
+    layout = _layout(properties)
+    folders = [path] if layout is None or _holds_rows(spark, path) else []
+    _point(spark, name, schema, properties[_ROOT], layout, folders)
+
+
+def publish_chunks(spark: SparkSession, name: str, path: str, touched: DataFrame) -> None:
+    """Put the chunks of `touched` from `path` in place; the others stay."""
+    properties, schema = _properties(spark, name), read_target(spark, name).schema
+    layout, root, old = _layout(properties), properties[_ROOT], _folders(properties)
+
+    def held(folder: str) -> DataFrame:
+        chunks = spark.read.parquet(folder).select(F.col(CHUNK).cast("bigint").alias("chunk")).distinct()
+        return chunks.withColumn("folder", F.lit(folder))
+
+    if properties.get(_MANIFEST):
+        before = spark.read.parquet(properties[_MANIFEST])
     else:
-        chunks = _chunks(read_version(spark, path, spark.table(name).schema))
-        _point(spark, name, path, chunks)
-        gone = _partitions(spark, name) - {_spec(c) for c in chunks}
-        for spec in sorted(gone):
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({CHUNK} = '{spec}')")
-    spark.catalog.refreshTable(name)
+        before = held(old[0]) if old else spark.createDataFrame([], "chunk bigint, folder string")
+    after = before.join(touched.select(F.col(CHUNK).alias("chunk")), "chunk", "left_anti")
+    if _holds_rows(spark, path):
+        after = after.unionByName(held(path))
+    manifest = f"{root}/manifest-{uuid.uuid4().hex}"
+    after.coalesce(1).write.parquet(manifest)
+    folders = sorted(r["folder"] for r in spark.read.parquet(manifest).select("folder").distinct().collect())
+    _point(spark, name, schema, root, layout, folders, manifest)
 
 
-def publish_chunks(spark: SparkSession, name: str, path: str, chunks: list[int | None]) -> None:
-    """Put the partitions of `chunks` from `path` in place; the others stay."""
-    _point(spark, name, path, chunks)
-    spark.catalog.refreshTable(name)
+def crowded(spark: SparkSession, name: str) -> bool:
+    """Whether the target has so many folders that it should be written anew."""
+    return len(_folders(_properties(spark, name))) >= MOST_FOLDERS
 
 
 def replace_target(df: DataFrame, name: str) -> None:
@@ -139,47 +199,32 @@ def update_target(df: DataFrame, name: str) -> None:
     publish(spark, name, write_version(align(df, read_target(spark, name).schema), name))
 
 
-def touched_chunks(df: DataFrame, layout: Layout) -> list[int | None]:
-    """The partitions that the rows of `df` belong to."""
-    return _chunks(df.select(layout.chunk().alias(CHUNK)))
-
-
-def _chunks(df: DataFrame) -> list[int | None]:
-    chunks = [r[CHUNK] for r in df.select(CHUNK).distinct().limit(MOST_PARTITIONS + 1).collect()]
-    if len(chunks) > MOST_PARTITIONS:
-        raise ValueError(f"more than {MOST_PARTITIONS} partitions: the layout needs a wider range")
-    return chunks
-
+def touched_chunks(df: DataFrame, layout: Layout) -> DataFrame:
+    """The chunks that the rows of `df` belong to, each once."""
+    return df.select(layout.chunk().alias(CHUNK)).distinct()
 
-def read_chunks(spark: SparkSession, name: str, chunks: list[int | None]) -> DataFrame:
-    """The target's rows in `chunks`. The list prunes partitions at planning time."""
-    known = [c for c in chunks if c is not None]
-    wanted = F.col(CHUNK).isin(known)
-    if len(known) < len(chunks):
-        wanted = wanted | F.col(CHUNK).isNull()
-    return spark.table(name).filter(wanted).drop(CHUNK)
 
+def read_chunks(spark: SparkSession, name: str, touched: DataFrame) -> DataFrame:
+    """The target's rows in the chunks of `touched`. A short list prunes files at planning time, a long one is joined."""
+    some = [r[CHUNK] for r in touched.limit(LISTED_CHUNKS + 1).collect()]
+    if len(some) <= LISTED_CHUNKS:
+        return spark.table(name).filter(F.col(CHUNK).isin(some)).drop(CHUNK)
+    return spark.table(name).join(touched, CHUNK, "left_semi").drop(CHUNK)
 
-def _shape(schema: T.StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema]
 
+def remove_old_versions(spark: SparkSession, name: str, older_than: dt.datetime) -> list[str]:
+    """Delete folders under the target's root that it does not read and that were last written before `older_than`.
 
-def _spec(chunk: int | None) -> str:
-    return NO_CHUNK if chunk is None else str(chunk)
-
-
-def _partitions(spark: SparkSession, name: str) -> set[str]:
-    return {r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-
-
-def _point(spark: SparkSession, name: str, path: str, chunks: list[int | None]) -> None:
-    have = _partitions(spark, name)
-    specs = [_spec(c) for c in chunks]
-    places = {s: f"PARTITION ({CHUNK} = '{s}')" for s in specs}
-    for s in specs:
-        if s in have:
-            spark.sql(f"ALTER TABLE {name} {places[s]} SET LOCATION '{path}/{CHUNK}={s}'")
-    new = [s for s in specs if s not in have]
-    for i in range(0, len(new), 500):
-        adds = " ".join(f"{places[s]} LOCATION '{path}/{CHUNK}={s}'" for s in new[i : i + 500])
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {adds}")
+    A moment well before the oldest running job or query keeps what those still write or read; the names removed.
+    """
+    properties = _properties(spark, name)
+    used = {f.rstrip("/").rsplit("/", 1)[-1] for f in [*_folders(properties), properties.get(_MANIFEST, "")]}
+    files, place = _filesystem(spark, properties[_ROOT])
+    limit = int(older_than.timestamp() * 1000)
+    if not files.exists(place):
+        return []
+    old = [f for f in files.listStatus(place) if f.isDirectory() and f.getModificationTime() < limit]
+    gone = [f.getPath() for f in old if f.getPath().getName() not in used]
+    for path in gone:
+        files.delete(path, True)
+    return sorted(p.getName() for p in gone)
