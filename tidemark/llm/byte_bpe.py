@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import gathered, text_bytes
 
-BATCH_BYTES = 32 << 20
-MOST_REMEMBERED = 500_000
-DECODE_ROWS = 1000
+BATCH_BYTES = 8 << 20
+MOST_REMEMBERED = 200_000
+DECODE_ROWS = 256
 #: Up to so many positions of one merge are cheaper one by one than as arrays.
 FEW = 6
 
