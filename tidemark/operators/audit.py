@@ -27,6 +27,16 @@ def load_audit(df: DataFrame, chunk: str, batch: str, ok: Column) -> DataFrame:
     )
 
 
+def row_audit(df: DataFrame, chunk: str, ok: Column) -> DataFrame:
+    """The same where every row is a batch of its own: one aggregate, combined before its shuffle."""
+    return df.groupBy(chunk).agg(
+        F.count("*").alias("batches"),
+        F.count_if(ok).alias("uploaded"),
+        F.count_if(~ok).alias("failed"),
+        F.bool_and(ok).alias("succeeded"),
+    )
+
+
 def audit_total(audit: DataFrame) -> DataFrame:
     """Totals over all chunks, one row. A load without batches succeeded."""
     sums: Sequence[str] = ("batches", "uploaded", "failed")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.operators.audit import audit_total, load_audit
+from tidemark.operators.audit import audit_total, load_audit, row_audit
 from tidemark.operators.columns import BAD_CELLS, BAD_DATE, STAMP, Field, align, conform, declared_schema, stamp_load
 from tidemark.operators.control import (
     PERIODIC_REFRESH,
@@ -219,17 +219,16 @@ def _chunk(df: DataFrame, key: str, size: int, hashed: int) -> Column:
 
 def audit_staged(config: TableConfig, staged: DataFrame, *, by_row: bool = False) -> DataFrame:
     """Load audit of a staging table, one row per key chunk. One bad row fails its batch, or with `by_row` only itself."""
-    batch = F.monotonically_increasing_id() if by_row else _chunk(staged, config.chunk_key, PAGE_ROWS, HASH_BATCHES)
-    parts = staged.select(
-        _chunk(staged, config.chunk_key, config.batch_range, HASH_CHUNKS).alias("chunk_id"),
-        batch.alias("batch_id"),
-        BAD_CELLS,
-    )
-    return load_audit(parts, "chunk_id", "batch_id", F.col(BAD_CELLS) == 0)
+    chunk = _chunk(staged, config.chunk_key, config.batch_range, HASH_CHUNKS).alias("chunk_id")
+    good = F.col(BAD_CELLS) == 0
+    if by_row:
+        return row_audit(staged.select(chunk, BAD_CELLS), "chunk_id", good)
+    batch = _chunk(staged, config.chunk_key, PAGE_ROWS, HASH_BATCHES).alias("batch_id")
+    return load_audit(staged.select(chunk, batch, BAD_CELLS), "chunk_id", "batch_id", good)
 
 
-def _report(run: Run, config: TableConfig, rows: DataFrame, *, strict: bool) -> None:
-    """Store the audit of checked rows by chunk, and every bad row with its chunk and reason."""
+def _report(run: Run, config: TableConfig, rows: DataFrame, *, bad_rows: int, strict: bool) -> None:
+    """Store the audit of checked rows by chunk, and every bad row, if there are any, with its chunk and reason."""
     told = [F.lit(config.table).alias("table_name"), run.moment().cast("timestamp").alias("load_ts")]
     bad = rows.filter(F.col(BAD_CELLS) > 0).select(
         *told,
@@ -237,7 +236,8 @@ def _report(run: Run, config: TableConfig, rows: DataFrame, *, strict: bool) ->
         F.concat(F.col(BAD_CELLS), F.lit(" unreadable or missing cells")).alias("reason"),
         F.to_json(F.struct(*[f"`{c}`" for c in rows.columns if c not in (BAD_CELLS, BAD_DATE)])).alias("row"),
     )
-    append(bad, run.rejects)
+    if bad_rows:
+        append(bad, run.rejects)
     audit = audit_staged(config, rows, by_row=not strict)
     append(audit.select(*told, "*"), run.audits)
 
@@ -262,7 +262,7 @@ def merge_staged(
     stored = {c.lower() for c in read_target(spark, name).columns}
     if only_if_newer and config.date_col.lower() not in stored:
         raise ValueError(f"{config.table}: to keep newer rows the target must store {config.date_col}; declare it")
-    _report(run, config, staged, strict=strict)
+    _report(run, config, staged, bad_rows=facts["bad"], strict=strict)
     if facts["bad"] and strict:
         total = audit_total(audit_staged(config, staged)).first()
         raise LoadFailed(f"{config.table}: {facts['bad']} unreadable rows, {total['failed']} in their batches")
@@ -322,7 +322,7 @@ def full_load(
     good = rows.observe(seen, *counts).filter(F.col(BAD_CELLS) == 0)
     path = write_version(align(good, wanted), name)
     if seen.get["bad"]:
-        _report(run, config, rows, strict=strict)
+        _report(run, config, rows, bad_rows=seen.get["bad"], strict=strict)
         if strict:
             raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells")
     rejected = rows.filter(F.col(BAD_CELLS) > 0).count() if seen.get["bad"] else 0
