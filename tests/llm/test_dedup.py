@@ -145,7 +145,7 @@ def test_keys_with_many_members_lose_no_link(spark):
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     classes = spark.createDataFrame([(p,) for p in signed], "print long")
     shelf = Shelf(spark, "test")
-    roots = {r["node"] % (1 << 64): r["root"] for r in components(simhash._links(classes, shelf, 4), shelf).collect()}
+    roots = {r["node"] % (1 << 64): r["root"] for r in simhash.linked(classes, shelf, 4).collect()}
     wanted = brute_roots(prints)
     mine, theirs = {}, {}
     for p in prints:
