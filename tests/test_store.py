@@ -191,6 +191,16 @@ def test_landed_pages_are_bounded(spark, rows, tmp_path):
     assert rows(pages.read_pages(spark, str(tmp_path / "landed"), df.schema)) == rows(df)
 
 
+def test_pages_landed_by_day_are_pruned(spark, rows, tmp_path):
+    path, row = str(tmp_path / "landed"), spark.createDataFrame([], "id string").schema
+    for day in range(1, 5):
+        pages.land_pages(spark.createDataFrame([(str(day),)], "id string"), path, day=dt.date(2024, 3, day))
+    recent = pages.read_pages(spark, path, row, since=dt.date(2024, 3, 3))
+    assert recent.columns == ["id"] and rows(recent) == [("3",), ("4",)]
+    assert "PartitionFilters: [isnotnull(landed" in recent._jdf.queryExecution().executedPlan().toString()
+    assert rows(pages.read_pages(spark, path, row)) == [("1",), ("2",), ("3",), ("4",)]
+
+
 def test_shared_folder(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert new_folder(spark, "x") != new_folder(spark, "x")

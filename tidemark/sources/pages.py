@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.columns import drop_links
@@ -19,10 +21,22 @@ def rows_of(pages: DataFrame) -> DataFrame:
     return drop_links(pages.select(F.explode("items").alias("item")).select("item.*"))
 
 
-def read_pages(spark: SparkSession, path: str, row: T.StructType, *, multiline: bool = False) -> DataFrame:
-    """Rows of the pages under `path`, one page per line (or per file). A broken page fails the read."""
-    reader = spark.read.schema(page_schema(row)).option("mode", "FAILFAST").option("multiLine", multiline)
-    return rows_of(reader.json(path))
+#: Folder of the pages landed on one day: `landed=2024-03-10`.
+LANDED = "landed"
+
+
+def read_pages(
+    spark: SparkSession, path: str, row: T.StructType, *, multiline: bool = False, since: dt.date | None = None
+) -> DataFrame:
+    """Rows of the pages under `path`, one page per line (or per file). A broken page fails the read.
+
+    With `since`, only the folders of that day and later are read; pages must have been landed by day.
+    """
+    schema = page_schema(row)
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", multiline)
+    if since is None:
+        return rows_of(reader.schema(schema).json(path))
+    return rows_of(reader.schema(schema.add(LANDED, T.DateType())).json(path).filter(F.col(LANDED) >= F.lit(since)))
 
 
 def stream_pages(spark: SparkSession, path: str, row: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -47,5 +61,6 @@ def to_pages(df: DataFrame, rows: int = PAGE_ROWS) -> DataFrame:
     return paged.select(F.to_json(F.struct("items", F.lit(True).alias("hasMore"))).alias("value"))
 
 
-def land_pages(df: DataFrame, path: str, rows: int = PAGE_ROWS) -> None:
-    to_pages(df, rows).write.mode("append").text(path)
+def land_pages(df: DataFrame, path: str, rows: int = PAGE_ROWS, *, day: dt.date | None = None) -> None:
+    """Land rows as pages, in the folder of a day if one is given."""
+    to_pages(df, rows).write.mode("append").text(f"{path}/{LANDED}={day.isoformat()}" if day else path)

@@ -28,7 +28,7 @@ def read_database(
     fields: Sequence[Field],
     *,
     chunk_range: int = CHUNK_RANGE,
-    most_reads: int = 1000,
+    most_reads: int,
     fetch_rows: int = 10_000,
     **options: str,
 ) -> DataFrame:
