@@ -24,10 +24,10 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import slices
-from tidemark.llm.text import Shelf
+from tidemark.llm.text import Shelf, smallest_hashes
 
 SAMPLE_PAGES = 12
 #: A text is the template's if so many sampled pages, and all of them, have it in the same place.
@@ -358,9 +358,7 @@ def extract_text(
         F.col(f"`{url_col}`").alias("url"),
         F.col(f"`{html_col}`").cast("string").alias("html"),
     ).withColumn("host", host_of("url"))
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page_id", "url"), "page_id", "url")
-    filled = given.filter(F.length("html") > 0)
-    sample = filled.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample_pages)
+    sample = smallest_hashes(given.filter(F.length("html") > 0), "host", ["page_id", "url"], sample_pages)
 
     def wrap(host: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         found = infer(frame.sort_values("place")["html"].tolist())

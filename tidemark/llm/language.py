@@ -18,10 +18,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import slices
-from tidemark.llm.text import fold
+from tidemark.llm.text import fold, smallest_hashes
 
 #: Documents of each language that are learned from, at most: those with the smallest hash of their id.
 MOST_LEARNED = 400
@@ -236,9 +236,7 @@ def label(texts: Sequence[str], scorer: WordScores, penalty: float) -> Labelled:
 def _sample(docs: DataFrame, most: int) -> DataFrame:
     """At most `most` documents of each language; chosen by id alone, so that no texts are sorted."""
     taught = docs.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~fold(F.col("id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = taught.select("id", "lang").distinct().withColumn("place", F.row_number().over(order))
-    chosen = ids.filter(F.col("place") <= most).drop("place")
+    chosen = smallest_hashes(taught.select("id", "lang").distinct(), "lang", ["id"], most).drop("place")
     texts = docs.filter(F.col("text").isNotNull()).join(chosen.hint("broadcast"), ["id", "lang"])
     # Of rows that repeat an id one text counts.
     return texts.groupBy("id", "lang").agg(F.min("text").alias("text"))

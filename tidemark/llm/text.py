@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.workspace import new_folder
 
@@ -34,6 +35,20 @@ def fold(doc_id: Column, folds: int = 4, held_out: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == held_out, F.lit(False))
 
 
+def smallest_hashes(df: DataFrame, group: str, ids: Sequence[str], most: int, buckets: int = 64) -> DataFrame:
+    """The `most` rows of each group with the smallest hash of `ids`, with their `place` in that order from 1.
+
+    Chosen first in buckets of each group and then among those, so that of a group with a third of all rows no task
+    gets more than a bucket's rows, and the last one at most `buckets * most`.
+    """
+    hashed = F.xxhash64(*ids)
+    order = [hashed, *ids]
+    inner = Window.partitionBy(group, F.pmod(hashed, F.lit(buckets))).orderBy(*order)
+    some = df.withColumn("place", F.row_number().over(inner)).filter(F.col("place") <= most)
+    outer = Window.partitionBy(group).orderBy(*order)
+    return some.withColumn("place", F.row_number().over(outer)).filter(F.col("place") <= most)
+
+
 class Shelf:
     """Tables of one run in the shared folder: written once, read back without their lineage."""
 
