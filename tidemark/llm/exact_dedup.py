@@ -15,17 +15,15 @@ further. The levels are tables in the shared folder.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.sieve import sieved
 from tidemark.llm.text import Shelf, single_spaced
 
 FIRST_BYTES = 64
 GROWTH = 8
-BUCKET_BITS = 32768
-MOST_BUCKETS = 4096
 
 
 def exact_dedup(
@@ -59,7 +57,7 @@ def exact_dedup(
     groups = shelf.put(shared.withColumn("gid", F.monotonically_increasing_id()), "groups-0")
     maybe = F.col("maybe")
     level = shelf.put(
-        _sieved(heads, groups).select(
+        sieved(heads, groups, ["length", "digit"]).select(
             "doc_id", "length", "digit", F.sha2("norm", 256).alias("sha"), "maybe",
             F.when(maybe, F.col("norm").cast("binary")).alias("text"), F.monotonically_increasing_id().alias("tag"),
             *rest,
@@ -106,21 +104,6 @@ def exact_dedup(
         )
 
 
-def _sieved(heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """`heads` with `maybe`: false where no group has its length and digit, true where one has and seldom else.
-
-    The bitmap has 16 bits for each group, in buckets of 4 KiB of which there are at most `MOST_BUCKETS`: 16 MiB in all.
-    """
-    buckets = min(MOST_BUCKETS, 1 << math.ceil(math.log2(max(1, groups.count() * 16 / BUCKET_BITS))))
-    slot = F.pmod(F.xxhash64("length", "digit"), F.lit(BUCKET_BITS * buckets))
-    placed = (F.floor(slot / BUCKET_BITS).alias("bucket"), F.pmod(slot, F.lit(BUCKET_BITS)).alias("place"))
-    bitmap = groups.select(*placed).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-    at = heads.select("*", *placed).join(F.broadcast(bitmap), "bucket", "left")
-    byte = F.substring(F.col("bits"), F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))
-    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.pmod("place", F.lit(8)).cast("int"))
-    return at.withColumn("maybe", F.coalesce(bit == 1, F.lit(False))).drop("bucket", "place", "bits")
-
-
 def _rest(group: str, width: int) -> Column:
     """What is left of the text behind its digit, for rows that are in a group."""
     return F.when(F.col(group).isNotNull(), F.substring("text", width + 1, 1 << 30)).alias("text")

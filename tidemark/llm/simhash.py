@@ -4,11 +4,12 @@ Equal fingerprints are one class, and classes are linked if their fingerprints d
 bits is cut into segments A and B of 23 bits, one Golay word each, and a rest R of 18. By the pigeonhole principle 4
 errors or fewer fall so that
 
-- A and B have at most 2 each: they share a codeword near A and one near B, or
-- one of them, say A, has 3 or more, so B and R have at most one together: B is equal, or R is equal and B, with one
-  error, shares a codeword.
+- R is equal, and A or B has at most 2 errors and shares a codeword, or
+- A is equal (or B), and B (or A) shares a codeword, or has 3 errors, so that R has one and one of its halves is equal, or
+- all three have errors: A and B at most 2, so both share a codeword, and R at most 2, so one of its thirds is equal.
 
-So each class gets about 41 keys, linked classes share at least one, and every pair found is verified. A key with
+So each class gets about 110 keys of 30 bits or more, linked classes share at least one, and every pair found is
+verified. Keys and their members are counted in one shuffle, after which most keys, with one member or two, are done. A key with
 many members is not paired off: its members are first linked to one of them and the links closed to components, and then
 only members outside the key's largest component are compared with the others. So a dense cluster of near copies
 costs in proportion to its members. Keys with few members, at most `FEW`, are paired off directly.
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm import golay
 from tidemark.llm.batches import slices, text_bytes
 from tidemark.llm.components import components
+from tidemark.llm.sieve import sieved
 from tidemark.llm.text import Shelf
 
 SHINGLE_WORDS = 4
@@ -33,7 +35,8 @@ MOST_BITS = 4
 SEED = 42
 SLICE_BYTES = 2 << 20
 FEW = 32
-MERGED_ROWS = 4096
+KEYED_ROWS = 2048
+REST_BITS = 64 - 2 * golay.BITS
 
 
 def fingerprints(texts: Sequence[bytes], words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
@@ -87,15 +90,22 @@ def candidate_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys.append((kind << 48) | values)
 
     everyone = np.arange(len(prints))
-    add(1, everyone, a)
-    add(2, everyone, b)
+    half, third = REST_BITS // 2, REST_BITS // 3
+    for i in range(2):
+        part = (r >> (i * half)) & ((1 << half) - 1)
+        add(i, everyone, (a << half) | part)
+        add(2 + i, everyone, (b << half) | part)
     for i in range(golay.KEYS):
         has_a, has_b = np.flatnonzero(n_a > i), np.flatnonzero(n_b > i)
-        add(3, has_a, (r[has_a] << golay.INDEX_BITS) | near_a[has_a, i])
-        add(4, has_b, (r[has_b] << golay.INDEX_BITS) | near_b[has_b, i])
+        add(4, has_a, (r[has_a] << golay.INDEX_BITS) | near_a[has_a, i])
+        add(5, has_b, (r[has_b] << golay.INDEX_BITS) | near_b[has_b, i])
+        add(6, has_a, (b[has_a] << golay.INDEX_BITS) | near_a[has_a, i])
+        add(7, has_b, (a[has_b] << golay.INDEX_BITS) | near_b[has_b, i])
         for j in range(golay.KEYS):
             has = has_a[n_b[has_a] > j]
-            add(5, has, (near_a[has, i] << golay.INDEX_BITS) | near_b[has, j])
+            both = (near_a[has, i] << golay.INDEX_BITS) | near_b[has, j]
+            for k in range(3):
+                add(8 + k, has, (both << third) | ((r[has] >> (k * third)) & ((1 << third) - 1)))
     return np.concatenate(at), np.concatenate(keys)
 
 
@@ -116,7 +126,7 @@ def _keyed(classes: DataFrame) -> DataFrame:
     """(key, print) of every class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, MERGED_ROWS) for b in batches for i in range(0, b.num_rows, MERGED_ROWS)):
+        for batch in (b.slice(i, KEYED_ROWS) for b in batches for i in range(0, b.num_rows, KEYED_ROWS)):
             prints = batch.column("print").to_numpy()
             at, keys = candidate_keys(prints.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[at])], ["key", "print"])
@@ -128,26 +138,29 @@ def _near(a: str, b: str, most: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= most
 
 
-def _links(classes: DataFrame, shelf: Shelf, most: int) -> DataFrame:
-    """Edges (a, b) between fingerprints that give the same components as all pairs at most `most` bits apart."""
+def linked(classes: DataFrame, shelf: Shelf, most: int) -> DataFrame:
+    """The components that all pairs of fingerprints at most `most` bits apart make, as (node, root); single ones left out."""
     keyed = _keyed(classes)
-    keys = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("print").alias("pivot")).filter("n > 1")
-    keys = shelf.put(keys, "keys")
-    small = keyed.join(keys.filter(F.col("n") <= FEW).select("key").hint("merge"), "key")
+    keys = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high"))
+    keys = shelf.put(keys.filter("n > 1"), "keys")
+    # Most keys have one member, and the two of a key with two are known. Only members of the others are looked up.
+    twos = keys.filter(F.col("n") == 2).filter(_near("low", "high", most))
+    more = shelf.put(keys.filter(F.col("n") > 2).select("key", "n", F.col("low").alias("pivot")), "more")
+    members = sieved(keyed, more, ["key"]).filter("maybe").drop("maybe").join(more.hint("merge"), "key")
+    members = shelf.put(members, "members")
+    small, hot = members.filter(F.col("n") <= FEW).select("key", "print"), members.filter(F.col("n") > FEW)
     other = small.withColumnRenamed("print", "other")
     paired = small.join(other.hint("merge"), "key").filter((F.col("print") < F.col("other")) & _near("print", "other", most))
-    hot = keyed.join(keys.filter(F.col("n") > FEW).select("key", "pivot").hint("merge"), "key")
-    hot = shelf.put(hot, "hot")
     stars = hot.filter((F.col("print") != F.col("pivot")) & _near("print", "pivot", most))
-    edges = paired.select(F.col("print").alias("a"), F.col("other").alias("b")).unionByName(
-        stars.select(F.col("print").alias("a"), F.col("pivot").alias("b"))
-    )
+    edges = twos.select(F.col("low").alias("a"), F.col("high").alias("b"))
+    edges = edges.unionByName(paired.select(F.col("print").alias("a"), F.col("other").alias("b")))
+    edges = edges.unionByName(stars.select(F.col("print").alias("a"), F.col("pivot").alias("b")))
     edges = shelf.put(edges.distinct(), "found")
+    roots = shelf.put(components(edges, shelf), "roots")
     if hot.isEmpty():
-        return edges
+        return roots
     # What hot keys still hide: links between members that are not yet in one component.
-    roots = shelf.put(components(edges, shelf), "first-roots")
-    placed = hot.drop("pivot").join(roots.hint("merge"), F.col("print") == F.col("node"), "left")
+    placed = hot.select("key", "print").join(roots.hint("merge"), F.col("print") == F.col("node"), "left")
     placed = shelf.put(placed.select("key", "print", F.coalesce("root", "print").alias("root")), "placed")
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots"))
@@ -158,7 +171,8 @@ def _links(classes: DataFrame, shelf: Shelf, most: int) -> DataFrame:
     crossed = placed.join(shelf.put(beside, "beside").hint("merge"), "key").filter(
         (F.col("root") != F.col("other_root")) & _near("print", "other", most)
     )
-    return edges.unionByName(crossed.select(F.col("print").alias("a"), F.col("other").alias("b")))
+    crossed = shelf.put(crossed.select(F.col("print").alias("a"), F.col("other").alias("b")), "crossed")
+    return roots if crossed.isEmpty() else components(edges.unionByName(crossed), shelf)
 
 
 def near_dedup(
@@ -194,7 +208,7 @@ def near_dedup(
         ),
         "classes",
     )
-    roots = components(_links(classes, shelf, most_bits), shelf)
+    roots = linked(classes, shelf, most_bits)
     rooted = classes.join(roots.hint("merge"), F.col("print") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "print")
     )
