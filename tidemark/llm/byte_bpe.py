@@ -16,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import gathered, text_bytes
 
 BATCH_BYTES = 8 << 20
-MOST_REMEMBERED = 200_000
+MOST_REMEMBERED = 300_000
 DECODE_ROWS = 256
 #: Up to so many positions of one merge are cheaper one by one than as arrays.
 FEW = 6
@@ -200,17 +201,23 @@ class Encoder:
         return parts[:1] if parts[0] else [], parts[1:]
 
     def learn(self, plain: set[str], spaced: set[str]) -> None:
-        new = [*plain, *(" " + p for p in spaced)]
-        # Letters alone are one pre-token, with the space before them or without.
-        split = [(p,) if p.isalpha() or p[1:].isalpha() and p[0] == " " else self.pre_tokens.findall(p) for p in new]
-        words = list({w for ws in split for w in ws})
-        ids = dict(zip(words, Replay([w.encode() for w in words], self.bpe).run())) if words else {}
-        joined = [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in split]
-        if len(self.plain) + len(self.spaced) + len(new) > self.most:
+        # Letters behind a space are one pre-token; with a full stop or a comma behind them they are two.
+        simple = [p for p in spaced if p.isalpha()]
+        others = [*plain, *(" " + p for p in spaced if not p.isalpha())]
+        split = [
+            (p[:-1], p[-1]) if p[-1] in ",." and p[1:-1].isalpha() and p[0] == " " else self.pre_tokens.findall(p)
+            for p in others
+        ]
+        parts = list({w for ws in split for w in ws})
+        ids = Replay([*(b" " + p.encode() for p in simple), *(w.encode() for w in parts)], self.bpe).run()
+        if len(self.plain) + len(self.spaced) + len(simple) + len(others) > self.most:
             self.plain.clear()
             self.spaced.clear()
+        self.spaced.update(zip(simple, ids))
+        known = dict(zip(parts, ids[len(simple) :]))
+        joined = [b"".join([known[w] for w in ws]) for ws in split]
         self.plain.update(zip(plain, joined))
-        self.spaced.update(zip(spaced, joined[len(plain) :]))
+        self.spaced.update(zip((p[1:] for p in others[len(plain) :]), joined[len(plain) :]))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, as 32-bit integers."""
@@ -258,19 +265,39 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str = "doc
     return given.mapInArrow(run, T.StructType([given.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
+def decode_arrays(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ids, one behind the other, and where each row's end; `starts` has the place of each token in `flat`."""
+    lengths = np.diff(starts)[ids]
+    until = np.cumsum(lengths)
+    total = int(until[-1]) if len(until) else 0
+    places = np.repeat(starts[ids] - until + lengths, lengths) + np.arange(total)
+    return flat[places], np.r_[0, until][ends]
+
+
 def decode(encoded: DataFrame, vocabulary: str, pattern: str, *, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """`encoded` with the bytes of its ids as the binary column `to`; null ids give null, an id not in the vocabulary fails.
 
     All columns are kept; one that is named `to` is replaced. Without rows the result is empty.
     """
-    tokens = encoded.sparkSession.sparkContext.broadcast(load_byte_bpe(vocabulary, pattern).tokens)
+    tokens = load_byte_bpe(vocabulary, pattern).tokens
+    listed = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+    starts = np.cumsum([0, *map(len, listed)])
+    sent = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(listed), np.uint8), starts))
     schema = T.StructType([f for f in encoded.schema if f.name != to] + [T.StructField(to, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokens.value.__getitem__
+        flat, starts = sent.value
         for batch in (b.slice(i, DECODE_ROWS) for b in batches for i in range(0, b.num_rows, DECODE_ROWS)):
-            texts = [None if i is None else b"".join(map(token, i)) for i in batch.column(ids_col).to_pylist()]
+            lists = batch.column(ids_col)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            if len(ids) and not (0 <= ids.min() and ids.max() < len(starts) - 1 and np.diff(starts)[ids].all()):
+                raise ValueError("an id is not in the vocabulary")
+            content, ends = decode_arrays(ids, np.r_[0, np.cumsum(sizes)], flat, starts)
+            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(content)]
+            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
+            decoded = pc.if_else(lists.is_valid(), decoded, pa.scalar(None, pa.binary()))
             columns = {f.name: batch.column(f.name) for f in schema if f.name != to}
-            yield pa.RecordBatch.from_pydict(columns | {to: pa.array(texts, pa.binary())})
+            yield pa.RecordBatch.from_pydict(columns | {to: decoded})
 
     return encoded.mapInArrow(run, schema)
