@@ -20,20 +20,20 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import golay
-from tidemark.llm.batches import slices, text_bytes
 from tidemark.llm.components import components
 from tidemark.llm.sieve import sieved
-from tidemark.llm.text import Shelf
+from tidemark.llm.text import Shelf, filled
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
 SEED = 42
-SLICE_BYTES = 2 << 20
+PRINTED_ROWS = 256
 FEW = 32
 KEYED_ROWS = 2048
 REST_BITS = 64 - 2 * golay.BITS
@@ -109,17 +109,18 @@ def candidate_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(keys)
 
 
-def _printed(docs: DataFrame, words: int, carried: list[T.StructField]) -> DataFrame:
-    names = [f.name for f in carried]
+def _print_of(words: int):
+    """Function of the text column: its fingerprint. Only texts go to Python, not the rows they stand in."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", SLICE_BYTES):
-            prints = fingerprints(text_bytes(part.column("text")), words)
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(n) for n in names), pa.array(prints.view(np.int64))], [*names, "print"]
-            )
+    @F.pandas_udf("long")
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            out = [np.zeros(0, "<u8")]
+            for at in range(0, len(texts), PRINTED_ROWS):
+                out.append(fingerprints([bytes(t) for t in texts.iloc[at : at + PRINTED_ROWS]], words))
+            yield pd.Series(np.concatenate(out).view(np.int64))
 
-    return docs.mapInArrow(run, T.StructType([*carried, T.StructField("print", T.LongType())]))
+    return prints
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
@@ -131,7 +132,9 @@ def _keyed(classes: DataFrame) -> DataFrame:
             at, keys = candidate_keys(prints.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[at])], ["key", "print"])
 
-    return classes.select("print").mapInArrow(run, "key long, print long")
+    # A class makes so many keys that the few bytes of a small table are dealt over all tasks first.
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return classes.select("print").repartition(tasks, "print").mapInArrow(run, "key long, print long")
 
 
 def _near(a: str, b: str, most: int):
@@ -194,13 +197,13 @@ def near_dedup(
     if not 0 <= most_bits <= 4:
         raise ValueError("the keys find fingerprints at most 4 bits apart")
     shelf = Shelf(docs.sparkSession, "simhash")
-    given = docs.select(
+    text = filled(F.col(f"`{text_col}`")).cast("binary")
+    printed = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
-        F.col(f"`{text_col}`").cast("string").alias("text"),
+        _print_of(words)(text).alias("print"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
     rest = ["row"] if carry else []
-    printed = _printed(given, words, [given.schema[n] for n in ["doc_id", *rest]])
     printed = shelf.put(printed.withColumn("tag", F.monotonically_increasing_id()), "prints")
     classes = shelf.put(
         printed.groupBy("print").agg(
