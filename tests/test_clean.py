@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.functions.types import declared_type
 from tidemark.functions import (
     clean_boolean,
     clean_date,
@@ -121,8 +122,10 @@ def test_numbers_agree_with_the_cast(spark):
 def test_type_names(spark):
     declared = ["STRING(2000)", "NUMERIC(10, 2)", "NUMERIC(10,2)", "NUMERIC(10)", "()", "None", "", None, "DATE", "boolean"]
     assert apply(spark, normalized_type, declared) == [
-        "STRING", "FLOAT", "FLOAT", "NUMERIC(10)", None, None, None, None, "DATE", "boolean",
+        "STRING", "FLOAT", "FLOAT", "NUMERIC(10)", None, None, None, None, "DATE", "BOOLEAN",
     ]
+    odd = [" string(20)", "None ", " () ", "none", "numeric(3, 1)", "Numeric", "geography"]
+    assert apply(spark, normalized_type, declared + odd) == [declared_type(t) for t in declared + odd]
     stored = ["FLOAT", "integer", "BOOLEAN", "STRING", "DATETIME", "GEOGRAPHY", None]
     assert apply(spark, storage_type, stored) == ["FLOAT64", "INT64", "BOOL", "STRING", "DATETIME", "GEOGRAPHY", None]
 
@@ -132,6 +135,8 @@ def test_spark_types():
     assert spark_type("string(20)").simpleString() == "string"
     assert spark_type("NUMERIC(10, 2)").simpleString() == "double"
     assert spark_type("DATETIME").simpleString() == "timestamp_ntz"
+    assert spark_type("NUMERIC").simpleString() == "decimal(38,9)"
+    assert [spark_type(t).simpleString() for t in ("INT64", "float64", "BOOL")] == ["bigint", "double", "boolean"]
     with pytest.raises(ValueError):
         spark_type("()")
 
