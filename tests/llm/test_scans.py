@@ -181,3 +181,12 @@ def test_wrappers_take_the_article(spark):
 )
 def test_single_pages(told, text):
     assert html.extract(told, html.infer([told])) in (text, text.replace("open y", "open <a href='x>y"))
+
+
+@pytest.mark.parametrize("closed", [0, 200])
+def test_text_behind_a_deep_part_stays(closed):
+    deep = "<div>" * 200 + "deep<div class=advert>buy</div><nav>menu</nav>" + "</div>" * closed
+    told = f"<div class=x><article><h1>T</h1>{deep}<p>behind the deep part</p></article></div><p>no"
+    assert html.extract(told, html.infer([told])) == "T deep behind the deep part"
+    late = "<div>" * 200 + "<p>before</p><article><h1>T</h1><p>the article is here</p></article>"
+    assert html.extract(late, html.infer([late])) == "T the article is here"

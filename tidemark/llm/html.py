@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
@@ -33,6 +34,7 @@ SAMPLE_PAGES = 12
 #: A text is the template's if so many sampled pages, and all of them, have it in the same place.
 TEMPLATE_PAGES = 3
 SLICE_BYTES = 4 << 20
+#: Elements deeper than this have no node of their own, but those that tell the article from the rest have one up to twice as deep.
 MOST_DEPTH = 120
 
 # Names of HTML elements by kind.
@@ -54,6 +56,7 @@ NOT_ARTICLE = frozenset(
     "reply replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toc toolbar "
     "widget widgets complementary contentinfo alert".split()
 )
+TELLING = frozenset("article main h1".split())
 ARTICLE = frozenset("article main content post entry story body text".split())
 
 _TOKEN = re.compile(
@@ -72,6 +75,7 @@ class Element:
 
     key: str
     children: list[Element | str] = field(default_factory=list)
+    depth: int = 0
 
 
 def _names(rest: str) -> str:
@@ -83,7 +87,9 @@ def _names(rest: str) -> str:
 def parse(page: str) -> Element:
     """The page's block elements and text blocks. Inline tags only go on with the block, unless they name themselves junk."""
     root = Element("")
+    # All open elements by name. Those without a node stand with the node that takes their text, so end tags find their own.
     stack, tags, text, at = [root], [""], [], 0
+    opened = Counter(tags)
 
     def flush() -> None:
         block = " ".join(html.unescape("".join(text)).split())
@@ -92,10 +98,11 @@ def parse(page: str) -> Element:
             stack[-1].children.append(block)
 
     def close(name: str) -> None:
-        if name in tags:
+        if opened[name]:
             flush()
             while True:
                 stack.pop()
+                opened[tags[-1]] -= 1
                 if tags.pop() == name:
                     break
 
@@ -107,7 +114,7 @@ def parse(page: str) -> Element:
         if not name:
             continue
         if m["end"]:
-            if name not in INLINE or name in tags:
+            if name not in INLINE or opened[name]:
                 flush()
                 close(name)
             continue
@@ -124,11 +131,15 @@ def parse(page: str) -> Element:
         for other in CLOSES_ITSELF.get(name, ()):
             if tags[-1] == other:
                 close(other)
-        if len(stack) < MOST_DEPTH:
-            element = Element(f"{name} {names}".strip())
+        element = Element(f"{name} {names}".strip(), depth=stack[-1].depth + 1)
+        telling = name in TELLING or _is_junk(element.key) and not _is_junk(stack[-1].key)
+        if element.depth < MOST_DEPTH or telling and element.depth < 2 * MOST_DEPTH:
             stack[-1].children.append(element)
-            stack.append(element)
-            tags.append(name)
+        else:
+            element = stack[-1]
+        stack.append(element)
+        tags.append(name)
+        opened[name] += 1
     text.append(page[at:])
     flush()
     return root
