@@ -190,3 +190,13 @@ def test_text_behind_a_deep_part_stays(closed):
     assert html.extract(told, html.infer([told])) == "T deep behind the deep part"
     late = "<div>" * 200 + "<p>before</p><article><h1>T</h1><p>the article is here</p></article>"
     assert html.extract(late, html.infer([late])) == "T the article is here"
+
+
+@pytest.mark.parametrize(
+    "around", ["class='post no-sidebar'", "class='content has-comments'", "id=article-form-factor", "class=sidebar", "class='with-ad x'"]
+)
+def test_a_class_that_mentions_junk_is_no_junk(around):
+    told = f"<div {around}><h1>T</h1><p>One two three</p><div class='post reader-comments'>c</div><p>four</p></div><div class=ad-box>b</div>"
+    assert html.extract(told, html.infer([told])) == "T One two three four"
+    form = told.replace("<div", "<form><div", 1) + "</form>"
+    assert html.extract(form, html.infer([form])) == "T One two three four"

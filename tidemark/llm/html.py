@@ -67,6 +67,14 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+# Parts of a class that say what an element is for, not what it holds, and parts that deny or mention.
+PLAIN = frozenset(
+    "area bar block body bottom box button buttons cell col column container content group holder inner item items left link "
+    "links list outer panel right row section slot text title top unit wrap wrapper zone".split()
+)
+MENTIONS = frozenset("has hide hidden no not show with without".split())
+#: Elements that are dropped unless they hold most of the page's text and what the article is known by.
+SPARED = frozenset("form header aside".split())
 
 
 @dataclass
@@ -76,6 +84,7 @@ class Element:
     key: str
     children: list[Element | str] = field(default_factory=list)
     depth: int = 0
+    junk: bool = False
 
 
 def _names(rest: str) -> str:
@@ -142,16 +151,57 @@ def parse(page: str) -> Element:
         opened[name] += 1
     text.append(page[at:])
     flush()
+    _find_junk(root)
     return root
 
 
+def _find_junk(root: Element) -> None:
+    """Mark elements that name themselves junk, but none that holds most of the page's text and all that tells an article."""
+    held: dict[int, tuple[int, int]] = {}
+
+    def weigh(element: Element) -> tuple[int, int]:
+        size, telling = 0, int(element.key.partition(" ")[0] in TELLING)
+        for child in element.children:
+            more = (len(child), 0) if isinstance(child, str) else weigh(child)
+            size, telling = size + more[0], telling + more[1]
+        name = element.key.partition(" ")[0]
+        telling = 0 if name in ("header", "aside") else telling
+        held[id(element)] = (0, 0) if name in DROPPED and name not in SPARED else (size, telling)
+        return held[id(element)]
+
+    total, marks = weigh(root)
+
+    def mark(element: Element) -> None:
+        for child in element.children:
+            if not isinstance(child, str):
+                if _is_junk(child.key):
+                    size, telling = held[id(child)]
+                    child.junk = size * 2 <= total or telling < min(marks, 1)
+                mark(child)
+
+    mark(root)
+
+
 @lru_cache(100_000)
 def _is_junk(key: str) -> bool:
-    """Whether an element by its name, class, id or role is no part of an article."""
+    """Whether an element by its name, class, id or role is no part of an article.
+
+    Of a class in parts, as `reader-comments` or `ad-box`, the last part counts that says what the element holds.
+    """
     name, _, names = key.partition(" ")
-    return name in DROPPED or name not in ("html", "body", "main", "article") and bool(
-        NOT_ARTICLE & set(_WORD.findall(names))
-    )
+    if name in DROPPED:
+        return True
+    if name in ("html", "body", "main", "article"):
+        return False
+    for token in names.split():
+        parts = _WORD.findall(token)
+        if not parts or parts[0] in MENTIONS:
+            continue
+        while len(parts) > 1 and parts[-1] in PLAIN:
+            parts.pop()
+        if parts[-1] in NOT_ARTICLE:
+            return True
+    return False
 
 
 @dataclass
@@ -170,11 +220,15 @@ class Item:
 TEXT = "#"
 
 
-def fold(element: Element) -> Item:
-    """A page's element as a wrapper: neighbours of one kind, or in turns of two or three kinds, are one repeated group."""
+def fold(element: Element, junk: bool = False) -> Item:
+    """A page's element as a wrapper: neighbours of one kind, or in turns of two or three kinds, are one repeated group.
+
+    The mass of an item is its text outside junk.
+    """
     items: list[Item] = []
+    junk = junk or element.junk
     for child in element.children:
-        item = Item(TEXT, text=child, mass=len(child)) if isinstance(child, str) else fold(child)
+        item = Item(TEXT, text=child, mass=0 if junk else len(child)) if isinstance(child, str) else fold(child, junk)
         _append(items, item)
     return Item(element.key, items, mass=sum(i.mass for i in items))
 
@@ -247,13 +301,13 @@ def mark_article(wrapper: Item) -> None:
     """Mark the element that is the article: the one named so that holds most text, or the innermost that holds most of it."""
 
     def mass(item: Item) -> int:
-        if _is_junk(item.key) or item.text is not None:
+        if item.text is not None:
             return 0
         return item.mass if item.key == TEXT else sum(map(mass, item.items))
 
     def elements(item: Item) -> Iterator[tuple[Item, int]]:
         for i in item.items:
-            if i.key != TEXT and not _is_junk(i.key):
+            if i.key != TEXT and i.mass:
                 if i.key:
                     yield i, mass(i)
                 yield from elements(i)
@@ -272,7 +326,7 @@ def mark_article(wrapper: Item) -> None:
         return
     at = wrapper
     while True:
-        heavy = [i for i in at.items if i.key != TEXT and not _is_junk(i.key) and mass(i) * 10 >= total * 8 > 0 and not i.many]
+        heavy = [i for i in at.items if i.key != TEXT and mass(i) * 10 >= total * 8 > 0 and not i.many]
         if not heavy:
             break
         at = heavy[0]
@@ -321,7 +375,7 @@ def _blocks(element: Element, wrapper: Item | None) -> Iterator[str]:
         if isinstance(child, str):
             if item is None or item.text != child:
                 yield child
-        elif not _is_junk(child.key) or _is_title(child):
+        elif not child.junk or _is_title(child):
             yield from _blocks(child, item)
 
 
