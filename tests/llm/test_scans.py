@@ -200,3 +200,19 @@ def test_a_class_that_mentions_junk_is_no_junk(around):
     assert html.extract(told, html.infer([told])) == "T One two three four"
     form = told.replace("<div", "<form><div", 1) + "</form>"
     assert html.extract(form, html.infer([form])) == "T One two three four"
+
+
+def read_all(pages):
+    wrapper = html.infer(pages)
+    return [html.extract(told, wrapper) for told in pages]
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_what_articles_have_in_common_stays(tag):
+    def told(menu, title, body):
+        parts = f"<h1>{title}</h1><p class=date>Monday, from Rome</p><h2>What we share</h2><p>{body}</p><p class=tagline>Share this!</p>"
+        return f"<body><div class=x><p>menu {menu}</p></div><{tag}>{parts}</{tag}></body>"
+
+    same, body = "One title Monday, from Rome What we share", " ".join(["of some length"] * 9)
+    assert read_all([told(i, "One title", body) for i in "abc"]) == [f"{same} {body} Share this!"] * 3
+    assert read_all([told(i, "One title", f"{i} {body}") for i in "abc"]) == [f"{same} {i} {body}" for i in "abc"]

@@ -5,8 +5,9 @@ text. A stream is folded where it repeats itself, so that a list of any length b
 streams are aligned one after another: what stands in both stays, text that differs becomes a slot, and what stands in
 one only becomes optional. The result is the host's wrapper, a regular expression without alternatives, kept as a
 tree. In it the article is chosen once per host: the element whose slots hold the text. Every page of the host is then
-read along the wrapper, and text of the article's slots is taken; text that the template repeats, and elements that
-name themselves menus, adverts, comments and the like, are left out. A page that has no such element is its own sample.
+read along the wrapper, and the article's text is taken. Elements that name themselves menus, adverts, comments and
+the like are left out, and of what the template repeats only calls such as `Share this`; titles, section headings and
+paragraphs that pages have in common stay. A page that has no such element is its own sample.
 
 Only the sample is grouped by host. All pages meet their wrapper in a plain join on the host, whose hot keys adaptive
 execution splits, or which is a broadcast where the wrappers are measured to be small.
@@ -56,6 +57,13 @@ NOT_ARTICLE = frozenset(
     "reply replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toc toolbar "
     "widget widgets complementary contentinfo alert".split()
 )
+_HEADING = re.compile(r"h[1-6]\b")
+#: A call that is no part of an article where a template repeats it: nothing but such words.
+_CALL = re.compile(
+    r"(?:share|subscribe|sign\s?up|log\s?in|skip|reply|sponsored|advertisement|advert|ad)"
+    r"(?:\W+(?:this|it|us|here|now|to|on|via|by|for|our|the|ad|article|page|post|story|content|email|newsletter|facebook|twitter))*\W*",
+    re.I,
+)
 TELLING = frozenset("article main h1".split())
 ARTICLE = frozenset("article main content post entry story body text".split())
 
@@ -285,9 +293,26 @@ def infer(pages: list[str]) -> Item:
     wrapper = wrapper or Item("")
     _keep_constants(wrapper, len(set(pages)) >= TEMPLATE_PAGES)
     mark_article(wrapper)
+    _keep_calls(wrapper)
     return wrapper
 
 
+def _slots(item: Item) -> int:
+    """The mass of the text in which pages differ."""
+    if item.text is not None:
+        return 0
+    return item.mass if item.key == TEXT else sum(map(_slots, item.items))
+
+
+def _keep_calls(item: Item, inside: bool = False) -> None:
+    """Of the constants only calls in an article are needed on; where all articles are one, they may be its own."""
+    inside = inside or item.main and _slots(item) > 0
+    for i in item.items:
+        if i.text is not None and not (inside and not _HEADING.match(item.key) and _CALL.fullmatch(i.text)):
+            i.text = None
+        _keep_calls(i, inside)
+
+
 def _keep_constants(item: Item, enough: bool, inside: bool = True) -> None:
     """Only text that every page has in this one place is the template's."""
     sure = inside and not item.many and not item.optional
@@ -298,12 +323,14 @@ def _keep_constants(item: Item, enough: bool, inside: bool = True) -> None:
 
 
 def mark_article(wrapper: Item) -> None:
-    """Mark the element that is the article: the one named so that holds most text, or the innermost that holds most of it."""
+    """Mark the element that is the article: the one named so that holds most text, or the innermost that holds most of it.
+
+    Text that the template repeats does not count, unless nearly all is repeated, as in copies of one article.
+    """
+    copies = _slots(wrapper) * 3 < wrapper.mass
 
     def mass(item: Item) -> int:
-        if item.text is not None:
-            return 0
-        return item.mass if item.key == TEXT else sum(map(mass, item.items))
+        return item.mass if copies else _slots(item)
 
     def elements(item: Item) -> Iterator[tuple[Item, int]]:
         for i in item.items:
@@ -316,9 +343,9 @@ def mark_article(wrapper: Item) -> None:
     found = list(elements(wrapper))
     for name in ("article", "main"):
         named = [(m, i) for i, m in found if i.key.partition(" ")[0] == name or name in i.key.split(" ")[1:]]
-        best = max((m for m, _ in named), default=0)
-        if best and best * 3 >= total:
-            next(i for m, i in named if m == best).main = True
+        best = max((i for _, i in named), key=lambda i: i.mass, default=None)
+        if best and (best.mass * 3 >= wrapper.mass or any(i is best and m * 3 >= total > 0 for m, i in named)):
+            best.main = True
             return
     called = [(m, i) for i, m in found if ARTICLE & set(_WORD.findall(i.key.partition(" ")[2])) and m * 2 >= total > 0]
     if called:
@@ -327,7 +354,7 @@ def mark_article(wrapper: Item) -> None:
     at = wrapper
     while True:
         heavy = [i for i in at.items if i.key != TEXT and mass(i) * 10 >= total * 8 > 0 and not i.many]
-        if not heavy:
+        if not heavy or any(i.key.partition(" ")[0] == "h1" and i.mass for i in at.items):
             break
         at = heavy[0]
     at.main = True
