@@ -216,3 +216,18 @@ def test_what_articles_have_in_common_stays(tag):
     same, body = "One title Monday, from Rome What we share", " ".join(["of some length"] * 9)
     assert read_all([told(i, "One title", body) for i in "abc"]) == [f"{same} {body} Share this!"] * 3
     assert read_all([told(i, "One title", f"{i} {body}") for i in "abc"]) == [f"{same} {i} {body}" for i in "abc"]
+
+
+def test_a_wrapper_is_made_of_all_pages(spark):
+    common = "<div class=content><h1>H {0}</h1><p>body {0} " + "and more of it " * 20 + "</p></div><div class=x>x {0}</div>"
+    rare = "<article><h1>Rare {0}</h1><p>story {0} " + "told at length " * 20 + "</p></article><div class=content>teaser {0}</div>"
+    rows = [(i, "http://one.example/", (rare if i % 40 == 7 else common).format(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(40)
+    for r in html.extract_text(df).collect():
+        i = r["page_id"]
+        want = f"Rare {i} story {i} " + "told at length " * 20 if i % 40 == 7 else f"H {i} body {i} " + "and more of it " * 20
+        assert r["text"] == want.strip()
+    known = html.infer([told for _, _, told in rows])
+    assert {i.key for i in known.items} == {"div content", "div x", "article"}
+    some = html.partial_from_json(html.partial_to_json(html.partial(rows[0][2])))
+    assert html.to_json(html.finished(some)) == html.to_json(html.infer([rows[0][2]]))

@@ -1,20 +1,22 @@
 """HTML extraction by union-free regular-expression inference.
 
-The pages of a host come from a few templates. A sample of them, bounded per host, is read as streams of block tags and
-text. A stream is folded where it repeats itself, so that a list of any length becomes one repeated group, and then the
+The pages of a host come from a few templates. All of them are read as streams of block tags and text. A stream is folded where it repeats itself, so that a list of any length becomes one repeated group, and then the
 streams are aligned one after another: what stands in both stays, text that differs becomes a slot, and what stands in
 one only becomes optional. The result is the host's wrapper, a regular expression without alternatives, kept as a
 tree. In it the article is chosen once per host: the element whose slots hold the text. Every page of the host is then
 read along the wrapper, and the article's text is taken. Elements that name themselves menus, adverts, comments and
 the like are left out, and of what the template repeats only calls such as `Share this`; titles, section headings and
-paragraphs that pages have in common stay. A page that has no such element is its own sample.
+paragraphs that pages have in common stay. A page whose article lies outside of what the wrapper takes is read along a
+wrapper of its own.
 
-Only the sample is grouped by host. All pages meet their wrapper in a plain join on the host, whose hot keys adaptive
-execution splits, or which is a broadcast where the wrappers are measured to be small.
+Every task aligns the pages it reads, host by host, into partial wrappers; these are aligned in rounds, a few at a time,
+to one of each host. Pages are not shuffled for that. They meet their wrapper in a plain join on the host, whose hot keys
+adaptive execution splits, or which is a broadcast where the wrappers are measured to be small.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -22,18 +24,25 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import slices
-from tidemark.llm.text import Shelf, smallest_hashes
+from tidemark.llm.text import Shelf
 
-SAMPLE_PAGES = 12
-#: A text is the template's if so many sampled pages, and all of them, have it in the same place.
+#: A text is the template's if so many pages, and all of them, have it in the same place.
 TEMPLATE_PAGES = 3
+#: Partial wrappers that are aligned at a time, and hosts and distinct pages that a task remembers before it hands on.
+ALIGNED = 16
+MOST_HOSTS = 512
+MOST_PAGES = 100_000
+#: Parts of a wrapper. Beyond, the lightest optional ones go, and pages that hold their article in them are read on their own.
+MOST_PARTS = 2000
+#: A constant of more characters is kept as a digest.
+LONG_TEXT = 80
 SLICE_BYTES = 4 << 20
 #: Elements deeper than this have no node of their own, but those that tell the article from the rest have one up to twice as deep.
 MOST_DEPTH = 120
@@ -236,11 +245,15 @@ def fold(element: Element, junk: bool = False) -> Item:
     items: list[Item] = []
     junk = junk or element.junk
     for child in element.children:
-        item = Item(TEXT, text=child, mass=0 if junk else len(child)) if isinstance(child, str) else fold(child, junk)
+        item = Item(TEXT, text=_told(child), mass=0 if junk else len(child)) if isinstance(child, str) else fold(child, junk)
         _append(items, item)
     return Item(element.key, items, mass=sum(i.mass for i in items))
 
 
+def _told(text: str) -> str:
+    return text if len(text) <= LONG_TEXT else hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 def _append(items: list[Item], item: Item) -> None:
     if items and items[-1].key == item.key:
         items[-1] = align(items[-1], item)
@@ -266,6 +279,9 @@ def align(a: Item, b: Item) -> Item:
         out.text = a.text if a.text == b.text and not out.many else None
         return out
     left, right = [_shape(i) for i in a.items], [_shape(i) for i in b.items]
+    if left == right:
+        out.items = [align(x, y) for x, y in zip(a.items, b.items)]
+        return out
     for kind, i, j, k, n in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
         if kind == "equal":
             out.items += [align(x, y) for x, y in zip(a.items[i:j], b.items[k:n])]
@@ -284,19 +300,62 @@ def _shape(item: Item) -> str:
     return item.key or "|".join(i.key for i in item.items)
 
 
-def infer(pages: list[str]) -> Item:
-    """The wrapper of some pages of one host, with its article marked."""
-    wrapper = None
-    for page in dict.fromkeys(pages):
-        folded = fold(parse(page))
-        wrapper = folded if wrapper is None else align(wrapper, folded)
-    wrapper = wrapper or Item("")
-    _keep_constants(wrapper, len(set(pages)) >= TEMPLATE_PAGES)
+@dataclass
+class Partial:
+    """The wrapper of some pages of a host, as yet unmarked, with the number of distinct pages, up to TEMPLATE_PAGES."""
+
+    wrapper: Item
+    pages: frozenset[str]
+
+    def join(self, other: Partial) -> Partial:
+        joined = align(self.wrapper, other.wrapper)
+        _lighten(joined)
+        return Partial(joined, frozenset(sorted(self.pages | other.pages)[:TEMPLATE_PAGES]))
+
+
+def partial(page: str) -> Partial:
+    return Partial(fold(parse(page)), frozenset([_digest(page)]))
+
+
+def _digest(page: str) -> str:
+    return hashlib.blake2b(page.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def _lighten(wrapper: Item) -> None:
+    """Drop the lightest optional parts of a wrapper that has too many."""
+
+    def parts(item: Item) -> Iterator[Item]:
+        for i in item.items:
+            yield i
+            yield from parts(i)
+
+    def keep(item: Item, least: int) -> None:
+        item.items = [i for i in item.items if not i.optional or i.mass > least]
+        for i in item.items:
+            keep(i, least)
+
+    found = list(parts(wrapper))
+    if len(found) > MOST_PARTS:
+        masses = sorted(i.mass for i in found if i.optional)
+        if masses:
+            keep(wrapper, masses[len(masses) // 2])
+
+
+def finished(found: Partial) -> Item:
+    """The wrapper with its article marked."""
+    wrapper = found.wrapper
+    _keep_constants(wrapper, len(found.pages) >= TEMPLATE_PAGES)
     mark_article(wrapper)
     _keep_calls(wrapper)
     return wrapper
 
 
+def infer(pages: list[str]) -> Item:
+    """The wrapper of some pages of one host, with its article marked."""
+    found = [partial(page) for page in dict.fromkeys(pages)]
+    return finished(reduce(Partial.join, found)) if found else Item("", main=True)
+
+
 def _slots(item: Item) -> int:
     """The mass of the text in which pages differ."""
     if item.text is not None:
@@ -360,6 +419,21 @@ def mark_article(wrapper: Item) -> None:
     at.main = True
 
 
+def partial_to_json(found: Partial) -> str:
+    def plain(i: Item) -> list:
+        return [i.key, i.text, int(i.many) + 2 * int(i.optional), i.mass, [plain(x) for x in i.items]]
+
+    return json.dumps([plain(found.wrapper), sorted(found.pages)], ensure_ascii=False, separators=(",", ":"))
+
+
+def partial_from_json(told: str) -> Partial:
+    def item(x: list) -> Item:
+        return Item(x[0], [item(i) for i in x[4]], text=x[1], many=bool(x[2] & 1), optional=bool(x[2] & 2), mass=x[3])
+
+    wrapper, pages = json.loads(told)
+    return Partial(item(wrapper), frozenset(pages))
+
+
 def to_json(item: Item) -> str:
     def plain(i: Item) -> list:
         return [i.key, i.text, i.main, [plain(x) for x in i.items]]
@@ -413,12 +487,46 @@ def _is_title(element: Element) -> bool:
     )
 
 
+def _is_named(element: Element) -> bool:
+    return element.key.partition(" ")[0] in ("article", "main")
+
+
+def _misses(root: Element, taken: list[Element]) -> bool:
+    """Whether a named article lies outside of what was taken, or most of the page's text does."""
+    inside, outside, missed, named = 0, 0, 0, False
+    chosen = {id(e) for e in taken}
+
+    def size(element: Element) -> int:
+        return sum(len(c) if isinstance(c, str) else 0 if c.junk else size(c) for c in element.children)
+
+    def holds(element: Element) -> bool:
+        return any(not isinstance(c, str) and (id(c) in chosen or holds(c)) for c in element.children)
+
+    def walk(element: Element, within: bool) -> None:
+        nonlocal inside, outside, missed, named
+        for child in element.children:
+            if isinstance(child, str):
+                outside += len(child)
+            elif id(child) in chosen:
+                inside += size(child)
+                named = named or within or _is_named(child)
+            elif not child.junk or holds(child):
+                article = child.key.partition(" ")[0] == "article"
+                if article and not holds(child):
+                    missed = max(missed, size(child))
+                walk(child, within or article)
+
+    walk(root, False)
+    return missed > (inside if named else 0) or not named and outside > inside
+
+
 def extract(page: str, wrapper: Item) -> str:
     """The article's blocks, joined by one space."""
     root = parse(page)
-    text = " ".join(b for e, i in _articles(root, wrapper) for b in _blocks(e, i))
-    if not text and not wrapper.main:
-        own = infer([page])
+    taken = list(_articles(root, wrapper))
+    text = " ".join(b for e, i in taken for b in _blocks(e, i))
+    if not wrapper.main and (not text or _misses(root, [e for e, _ in taken])):
+        own = finished(Partial(fold(root), frozenset([page])))
         text = " ".join(b for e, i in _articles(root, own) for b in _blocks(e, i))
     return text
 
@@ -435,12 +543,11 @@ def extract_text(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
-    sample_pages: int = SAMPLE_PAGES,
 ) -> DataFrame:
     """One row per row of `pages`: page_id, url and `text`, the main text of the whole page.
 
-    A wrapper is inferred from at most `sample_pages` pages of each host, those with the smallest hash of id and URL, and
-    applied to every page. A null or empty page, or one without an article, has an empty text. Pages whose URL is null or
+    A wrapper is inferred from all pages of each host and applied to every page; a page whose article lies outside of what it
+    takes is read along a wrapper of its own. A null or empty page, or one without an article, has an empty text. Pages whose URL is null or
     names no host count as one host. Ids may be null or repeated. Without rows the result is empty. Other columns of
     `pages`, whatever their names, are not looked at.
     """
@@ -450,14 +557,47 @@ def extract_text(
         F.col(f"`{url_col}`").alias("url"),
         F.col(f"`{html_col}`").cast("string").alias("html"),
     ).withColumn("host", host_of("url"))
-    sample = smallest_hashes(given.filter(F.length("html") > 0), "host", ["page_id", "url"], sample_pages)
 
-    def wrap(host: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        found = infer(frame.sort_values("place")["html"].tolist())
-        return pd.DataFrame({"wrapped": [host[0]], "wrapper": [to_json(found)]})
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Partial] = {}
+        seen: set[tuple[str, str]] = set()
 
-    wrappers = sample.select("host", "place", "html").groupBy("host").applyInPandas(wrap, "wrapped string, wrapper string")
-    wrappers = shelf.put(wrappers, "wrappers")
+        def handed() -> pa.RecordBatch:
+            told = pa.RecordBatch.from_arrays(
+                [pa.array(held, pa.string()), pa.array(map(partial_to_json, held.values()), pa.string())], ["host", "partial"]
+            )
+            held.clear()
+            seen.clear()
+            return told
+
+        for part in slices(batches, "html", SLICE_BYTES):
+            for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+                mark = host, _digest(page)
+                if mark not in seen:
+                    found = partial(page)
+                    held[host] = held[host].join(found) if host in held else found
+                    seen.add(mark)
+            if len(held) > MOST_HOSTS or len(seen) > MOST_PAGES:
+                yield handed()
+        if held:
+            yield handed()
+
+    def align_some(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        found = reduce(Partial.join, map(partial_from_json, sorted(frame["partial"])))
+        return pd.DataFrame({"host": [key[0]], "partial": [partial_to_json(found)]})
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [to_json(finished(partial_from_json(p))) for p in batch.column("partial").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(told, pa.string())], ["wrapped", "wrapper"])
+
+    filled_pages = given.filter(F.length("html") > 0).select("host", "html")
+    partials = shelf.put(filled_pages.mapInArrow(collect, "host string, partial string"), "partials")
+    while (most := partials.groupBy("host").count().agg(F.max("count")).first()[0] or 1) > 1:
+        salt = F.pmod(F.xxhash64("partial"), F.lit((most + ALIGNED - 1) // ALIGNED)).alias("salt")
+        aligned = partials.groupBy("host", salt).applyInPandas(align_some, "host string, partial string")
+        partials = shelf.put(aligned, "partials")
+    wrappers = shelf.put(partials.mapInArrow(finish, "wrapped string, wrapper string"), "wrappers")
     joined = given.join(wrappers, F.col("host") == F.col("wrapped"), "left").select("page_id", "url", "html", "wrapper")
     schema = T.StructType([given.schema["page_id"], given.schema["url"], T.StructField("text", T.StringType())])
 
