@@ -231,3 +231,10 @@ def test_a_wrapper_is_made_of_all_pages(spark):
     assert {i.key for i in known.items} == {"div content", "div x", "article"}
     some = html.partial_from_json(html.partial_to_json(html.partial(rows[0][2])))
     assert html.to_json(html.finished(some)) == html.to_json(html.infer([rows[0][2]]))
+
+
+def test_random_runs_without_digits_short_ones_and_names(frame):
+    found = ["kXvQmZrLwTbNsJdHqPfG", "QZXJVKWPMRTBHGDFLCNY", "qzxjvkwpmrtbhgdflcny", "kX9vQ2mZr7Lw4TbN", "qzxjvkwpmrtbhgdflcny12", "kXvQ-mZrLwTb_NsJdHq"]
+    clean = ["HAVE_LINUX_CAN_RAW_H", "get_user_account_by_name2", "internationalization", "state-of-the-art-method", "a-b-c-d-e-f-g-h-i-j", "2024-01-31-123456"]
+    got = spans(frame, *found, *clean)
+    assert got == [[("random", 0, len(t))] for t in found] + [[]] * len(clean)

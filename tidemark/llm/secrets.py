@@ -2,7 +2,8 @@
 
 A vocabulary made for text spends few tokens on words and many on random strings. Runs of letters, digits and the signs of
 Base64 that get fewer than `least_ratio` characters per token are reported as `random`, unless they are digests by their
-length, UUIDs, or identifiers made of words and numbers. All of a text is read, in the task that holds it; no shuffle.
+length, UUIDs, numbers without a letter, lists of single letters, or identifiers whose own words are token-efficient. All
+of a text is read, in the task that holds it; no shuffle.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from tidemark.llm.batches import slices
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST_RATIO = 2.0
-LEAST_CHARS = 20
+#: Measured: at 16 characters the test adds 6 runs of clean text on the 24.8 million characters of sf0.1, at 12 some 500.
+LEAST_CHARS = 16
 SLICE_BYTES = 4 << 20
 
 ASSIGN = re.compile(
@@ -33,7 +35,10 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEX_ONLY = re.compile(r"[0-9A-Fa-f]+")
 #: Words and numbers, or words that end in a number, between signs.
-_NAME = re.compile(r"[-+/_=]*(?:(?:[A-Za-z]{2,}[0-9]{0,3}|[0-9]+)[-+/_=]+)*(?:[A-Za-z]{2,}[0-9]{0,3}|[0-9]+)?")
+_NAME = re.compile(r"[-+/_=]*(?:(?:[A-Za-z]+[0-9]{0,3}|[0-9]+)[-+/_=]+)*(?:[A-Za-z]+[0-9]{0,3}|[0-9]+)?")
+
+_WORDS = re.compile(r"[A-Za-z]+")
+_LETTERS_LISTED = re.compile(r"[-+/_=]*(?:[A-Za-z][-+/_=]+)+[A-Za-z]?")
 
 _SPANS = T.ArrayType(
     T.StructType(
@@ -49,12 +54,22 @@ class Scanner:
         self.runs = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{least_chars},}}")
 
     def is_random(self, run: str) -> bool:
-        """Whether the run has letters and digits, is no digest or identifier, and takes many tokens."""
-        if not any(map(str.isdigit, run)) or not any(map(str.isalpha, run)):
+        """Whether the run has letters, is no digest or identifier, and takes many tokens."""
+        if not any(map(str.isalpha, run)):
+            return False
+        if len(run) in DIGEST_LENGTHS and _HEX_ONLY.fullmatch(run) or _UUID.fullmatch(run) or _LETTERS_LISTED.fullmatch(run):
             return False
-        if len(run) in DIGEST_LENGTHS and _HEX_ONLY.fullmatch(run) or _UUID.fullmatch(run) or _NAME.fullmatch(run):
+        if not self.is_wasteful([run]):
             return False
-        return len(run) < self.least_ratio * len(self.encoding.encode_ordinary(run))
+        if not _NAME.fullmatch(run):
+            return True
+        words = _WORDS.findall(run)
+        return self.is_wasteful(words) and (len(words) == 1 or self.is_wasteful([w.lower() for w in words]))
+
+    def is_wasteful(self, pieces: list[str]) -> bool:
+        """Whether the pieces have fewer characters per token than text has."""
+        tokens = sum(len(self.encoding.encode_ordinary(p)) for p in pieces)
+        return sum(map(len, pieces)) < self.least_ratio * tokens
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans by start, then kind in the order of `KINDS`."""
@@ -94,7 +109,7 @@ def scan_secrets(
 
     Spans are ordered by start, then kind. `assign` is a whole assignment whose value has 6 characters or more, `access` a key
     id of 20 or more, `hex` a run of 24 or more; matches of a kind do not overlap. `random` is what the token test adds
-    outside of these. A null or empty text has no spans; ids may be null or repeated. Without rows the result is empty. Other
+    outside of these, among runs of `least_chars` or more, with or without digits; shorter ones are not looked at. A null or empty text has no spans; ids may be null or repeated. Without rows the result is empty. Other
     columns of `docs`, whatever their names, are not looked at.
     """
     # One entry per token of the vocabulary.
