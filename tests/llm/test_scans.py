@@ -238,3 +238,18 @@ def test_random_runs_without_digits_short_ones_and_names(frame):
     clean = ["HAVE_LINUX_CAN_RAW_H", "get_user_account_by_name2", "internationalization", "state-of-the-art-method", "a-b-c-d-e-f-g-h-i-j", "2024-01-31-123456"]
     got = spans(frame, *found, *clean)
     assert got == [[("random", 0, len(t))] for t in found] + [[]] * len(clean)
+
+
+def test_quality_tells_words_of_one_shape(frame, spark):
+    import random
+
+    rng = random.Random(4)
+    good, bad = "river stone cloud field house north grass light".split(), "cheap pills lucky money click prize deals bonus".split()
+
+    def told(i):
+        return "The " + " ".join(rng.choice(bad if i % 2 else good) for _ in range(30)) + "."
+
+    docs = frame([(i, told(i), "en", "a") for i in range(160)])
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    held = [r for r in quality.classify(docs, labels).collect() if r["held_out"]]
+    assert len(held) > 10 and all(r["predicted"] == 1 - r["doc_id"] % 2 for r in held)

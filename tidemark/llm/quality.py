@@ -1,19 +1,22 @@
 """Quality classifier by nearest-neighbour voting over latent-semantic vectors.
 
-A text's terms are the shapes of its words, in which a run of small letters, of capitals, of digits or of one sign is one
-character, and terms for its length, its repeated words and how varied its words are. Weighted by frequency and rarity and
-hashed to a fixed number of columns, the terms of a bounded sample of labelled documents are factorised; the leading
-directions span the latent space. The sample's vectors and their labels are broadcast (a few thousand rows at most).
+A text's terms are its words in small letters without signs and digits, the shapes of its words, in which a run of small
+letters, of capitals, of digits or of one sign is one character, and terms for its length, its repeated words and how
+varied its words are. Weighted by frequency and rarity and hashed to a fixed number of columns, those of words apart from
+the others, the terms of a bounded sample of labelled documents are factorised; the leading directions span the latent
+space. Words and other terms have a fixed share of a text's vector each, so that many rare words do not drown shapes. The sample's vectors and their labels are broadcast (a few thousand rows at most).
 Every document is projected in blocks, its cosines with all labelled vectors are computed exactly, and the nearest
 vote with weights that grow with their similarity. There is no shuffle of texts.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -26,13 +29,19 @@ from tidemark.llm.text import filled, fold
 
 #: Labelled rows of each label that the classifier is fitted on, at most: those with the smallest hash of their id.
 MOST_LABELLED = 2000
-COLUMNS = 4096
-DIMENSIONS = 48
+COLUMNS = 16384
+DIMENSIONS = 96
+#: Length of the words' part of a vector, where that of the other terms is 1.
+WORDS_LENGTH = 0.5
 NEIGHBOURS = 25
 SHARPNESS = 8
 KEEP_FROM = 0.7
 BLOCK = 512
 MOST_REMEMBERED = 100_000
+LONGEST_REMEMBERED = 64
+#: Directions that are iterated besides the wanted ones, and rounds at most.
+SPARE = 16
+MOST_ROUNDS = 100
 
 #: Bytes beyond ASCII, of which letters with accents are made, stand with the small letters.
 _CLASSES = bytes(
@@ -49,26 +58,46 @@ def word_shapes(text: bytes) -> list[bytes]:
     return classes[starts].tobytes().split()
 
 
+_SMALL = re.compile(rb"[a-z\x80-\xff]+")
+
+
+def _others(columns: int) -> int:
+    """Columns of all terms but words: the first quarter."""
+    return max(1, columns // 4)
+
+
 class Terms:
-    """Hashed term columns of texts. The columns of shapes are remembered up to a bound."""
+    """Hashed term columns of texts. The columns of shapes and of words are remembered up to a bound."""
 
     def __init__(self, columns: int):
-        self.columns, self.seen = columns, {}
+        self.others, self.seen, self.seen_words = _others(columns), {}, {}
+        self.words = max(1, columns - self.others)
 
     def column(self, term: bytes) -> int:
-        found = self.seen.get(term)
+        return self._remembered(self.seen, term, self.others, 0)
+
+    def word(self, term: bytes) -> int:
+        return self._remembered(self.seen_words, term, self.words, self.others)
+
+    @staticmethod
+    def _remembered(seen: dict[bytes, int], term: bytes, columns: int, first: int) -> int:
+        found = seen.get(term)
         if found is None:
-            if len(self.seen) >= MOST_REMEMBERED:
-                self.seen.clear()
-            found = self.seen[term] = zlib.crc32(term) % self.columns
+            found = first + zlib.crc32(term) % columns
+            if len(term) <= LONGEST_REMEMBERED:
+                if len(seen) >= MOST_REMEMBERED:
+                    seen.clear()
+                seen[term] = found
         return found
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Columns and weights: the share of each shape, damped by the logarithm, and what the text is like as a whole."""
+        """Columns and weights: the share of each shape and word, damped by the logarithm, and what the text is like as a whole."""
         words, counts = text.split(), Counter(word_shapes(text))
         n = max(1, len(words))
-        columns = [self.column(shape[:12]) for shape in counts]
-        weights = np.log1p(100 / n * np.fromiter(counts.values(), np.float64, len(counts))) / np.log(101)
+        columns = [self.column(shape) for shape in counts]
+        told = Counter(_SMALL.findall(text.lower()))
+        shares = np.fromiter(chain(counts.values(), told.values()), np.float64, len(counts) + len(told))
+        weights = np.log1p(100 / n * shares) / np.log(101)
         same = sum(map(eq, words, words[1:])) / n
         size, varied = n.bit_length(), len(set(words)) / n
         columns += [
@@ -76,9 +105,21 @@ class Terms:
             self.column(b"same %d" % int(same * 4)),
             self.column(b"varied %d %d" % (size // 2, int(varied * 5))),
         ]
+        columns[len(counts) : len(counts)] = [self.word(word) for word in told]
         return np.array(columns, np.int64), np.concatenate([weights, [0.1, 0.1 if same < 0.25 else 1.0, 0.2]])
 
 
+def _balanced(columns: np.ndarray, weights: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Weights times rarity, words scaled to their length and all other terms to 1."""
+    out = weights * rarity[columns]
+    words = columns >= _others(len(rarity))
+    for part, length in ((words, WORDS_LENGTH), (~words, 1.0)):
+        now = np.sqrt(np.square(out[part]).sum())
+        if now > 0:
+            out[part] *= length / now
+    return out
+
+
 @dataclass(frozen=True)
 class Neighbours:
     """What is broadcast: column weights, the latent space, and the labelled vectors with their labels."""
@@ -93,11 +134,31 @@ def _project(rows: Sequence[tuple[np.ndarray, np.ndarray]], rarity: np.ndarray,
     """Unit vectors in the latent space; a text without any direction in it stays zero."""
     out = np.zeros((len(rows), space.shape[1]), np.float32)
     for i, (columns, weights) in enumerate(rows):
-        out[i] = (weights * rarity[columns]) @ space[columns]
+        out[i] = _balanced(columns, weights, rarity) @ space[columns]
     length = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
 
 
+def leading(gram: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` largest eigenvalues that are not zero and their vectors, by iteration of a subspace until they stay.
+
+    A full decomposition takes several copies of the matrix in the driver's memory.
+    """
+    n = min(len(gram), most + SPARE)
+    space = np.linalg.qr(np.random.default_rng(0).standard_normal((len(gram), n), np.float32))[0]
+    before = np.zeros(n)
+    for _ in range(MOST_ROUNDS):
+        moved = gram @ space
+        values, turn = np.linalg.eigh((space.T @ moved).astype(np.float64))
+        values, turn = values[::-1], turn[:, ::-1].astype(np.float32)
+        vectors = space @ turn
+        if np.abs(values - before)[:most].max() <= 1e-5 * values[0]:
+            break
+        before, space = values, np.linalg.qr(moved @ turn)[0]
+    found = np.flatnonzero(values[:most] > 1e-6 * values[0])
+    return values[found], vectors[:, found]
+
+
 def fit(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, columns: int, dimensions: int) -> Neighbours:
     """The latent space of labelled rows, by the leading eigenvectors of their Gram matrix, and the rows in it."""
     found = np.zeros(columns)
@@ -107,19 +168,29 @@ def fit(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, colum
     used = np.flatnonzero(found)
     place = np.zeros(columns, np.int64)
     place[used] = np.arange(len(used))
-    matrix = np.zeros((len(rows), max(1, len(used))), np.float32)
-    for i, (at, weights) in enumerate(rows):
-        np.add.at(matrix[i], place[at], weights * rarity[at])
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
-    if matrix.shape[1] <= len(rows):
-        values, vectors = np.linalg.eigh(matrix.T @ matrix)
-        basis = vectors[:, np.argsort(-values)[:dimensions]]
-    else:
-        values, vectors = np.linalg.eigh(matrix @ matrix.T)
-        best = np.argsort(-values)[:dimensions]
-        basis = matrix.T @ vectors[:, best] / np.sqrt(np.maximum(values[best], 1e-9))
-    space = np.zeros((columns, basis.shape[1]), np.float32)
-    space[used] = basis[: len(used)]
+    # Of each row the sum in each column, and its length; dense only in blocks of columns.
+    sums = [np.unique(place[at], return_inverse=True) for at, _ in rows]
+    values = [np.bincount(back, _balanced(at, w, rarity), len(to)) for (at, w), (to, back) in zip(rows, sums)]
+    values = [v / max(np.linalg.norm(v), 1e-9) for v in values]
+    where = np.repeat(np.arange(len(rows)), [len(v) for v in values])
+    to, value = np.concatenate([t for t, _ in sums]), np.concatenate(values).astype(np.float32)
+    order = np.argsort(to, kind="stable")
+    where, to, value = where[order], to[order], value[order]
+
+    def blocks() -> Iterator[np.ndarray]:
+        for first in range(0, len(used), BLOCK):
+            a, b = np.searchsorted(to, [first, first + BLOCK])
+            block = np.zeros((len(rows), min(BLOCK, len(used) - first)), np.float32)
+            block[where[a:b], to[a:b] - first] = value[a:b]
+            yield block
+
+    gram = np.zeros((len(rows), len(rows)), np.float32)
+    for block in blocks():
+        gram += block @ block.T
+    strengths, vectors = leading(gram, min(dimensions, len(used)))
+    vectors = vectors / np.sqrt(strengths)
+    space = np.zeros((columns, len(strengths)), np.float32)
+    space[used] = np.concatenate([block.T @ vectors for block in blocks()])
     return Neighbours(rarity, space, _project(rows, rarity, space), labels.astype(np.float64))
 
 
@@ -161,10 +232,11 @@ def labelled_rows(
                 ["id", "label", "columns", "weights"],
             )
 
-    found = texts.mapInArrow(terms, "id string, label int, columns array<long>, weights array<double>").collect()
-    found.sort(key=lambda r: (r["label"], r["id"]))
-    rows = [(np.array(r["columns"], np.int64), np.array(r["weights"])) for r in found]
-    return rows, np.array([r["label"] for r in found], np.float64)
+    found = texts.mapInArrow(terms, "id string, label int, columns array<long>, weights array<double>").toArrow()
+    found = found.sort_by([("label", "ascending"), ("id", "ascending")]).combine_chunks()
+    at, weights = (found.column(c).combine_chunks() for c in ("columns", "weights"))
+    rows = [(at[i].values.to_numpy(), weights[i].values.to_numpy()) for i in range(found.num_rows)]
+    return rows, found.column("label").to_numpy().astype(np.float64)
 
 
 def quality_scores(
