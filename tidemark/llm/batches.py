@@ -7,6 +7,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+#: Bytes of an Arrow batch that Spark sends to Python, where the session does not say otherwise.
+ARROW_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have batches to Python end by size, not only by rows: 10,000 long texts in one may be more than a task can hold.
+
+    The session's own setting stays where there is one.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, ARROW_BYTES)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, html, language, mixing, quality, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, collocations, exact_dedup, html, language, mixing, quality, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,48 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 """)
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents")).drop("copies")
+
+
+@query(r"""
+WITH p AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), w AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(pieces) AS piece FROM p)
+), s AS MATERIALIZED (
+  SELECT piece, lang, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), o AS MATERIALIZED (
+  SELECT lang, word AS w1, lead(word, 1) OVER p AS w2, lead(word, 2) OVER p AS w3, lead(word, 3) OVER p AS w4,
+         lead(word, 4) OVER p AS w5
+  FROM s WINDOW p AS (PARTITION BY piece ORDER BY i)
+), g AS MATERIALIZED (
+  SELECT lang, 1 AS m, w1 AS phrase, count(*) AS a FROM o GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 AS phrase, count(*) FROM o WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 AS phrase, count(*) FROM o WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4) AS phrase, count(*) FROM o WHERE w4 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 5, concat_ws(' ', w1, w2, w3, w4, w5) AS phrase, count(*) FROM o WHERE w5 IS NOT NULL GROUP BY ALL
+), t AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE m = 1 GROUP BY lang
+), h AS MATERIALIZED (
+  SELECT lang, phrase, a FROM g WHERE a >= 100
+), c AS MATERIALIZED (
+  SELECT lang, m, phrase, a, string_split(phrase, ' ') AS words FROM g WHERE m > 1 AND a >= 100
+), k AS (
+  SELECT c.*, k.k, array_to_string(words[1 : k.k], ' ') AS head, array_to_string(words[k.k + 1 :], ' ') AS rest
+  FROM c JOIN range(1, 5) k(k) ON k.k < m
+), q AS (
+  SELECT k.*, x.a AS l, y.a AS r, n, CAST(CAST(1000 AS HUGEINT) * k.a * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM k JOIN t USING (lang) JOIN h x ON x.lang = k.lang AND x.phrase = k.head JOIN h y ON y.lang = k.lang AND y.phrase = k.rest
+), b AS MATERIALIZED (
+  SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), d AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = b.lang AND c.m > b.m AND c.a >= b.a AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM d QUALIFY rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf, "documents"))
