@@ -120,7 +120,7 @@ def test_bitmap_has_all_its_keys(spark):
     bitmap = c.bitmap_of(spark.createDataFrame([(int(k),) for k in keys], "key long"))
     assert bitmap.has(keys.view(np.uint64)).all()
     others = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, 5000)
-    assert bitmap.has(others.view(np.uint64)).mean() < 0.1
+    assert bitmap.has(others.view(np.uint64)).mean() < 0.001
 
 
 def test_products_beyond_64_bits_are_exact(spark):

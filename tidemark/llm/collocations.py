@@ -36,7 +36,9 @@ BLOCK_BYTES = 2 << 20
 #: Different n-grams that a task holds before it hands them on, and entries of a row it hands on.
 HELD, ROW_ENTRIES = 1 << 20, 256
 #: Bits of the bitmap for each key, and bits at most (16 MiB).
-KEY_BITS, MOST_BITS = 16, 1 << 27
+KEY_BITS, MOST_BITS = 64, 1 << 27
+#: Bits that are set for each key: with 64 times as many bits as keys one in 80,000 others passes.
+PROBES = 4
 BUCKET_BITS = 32768
 #: Score buckets of a language, of which each yields its first rows, before its first rows of all are taken.
 BUCKETS = 64
@@ -141,7 +143,7 @@ def gram_hashes(words: Words, languages: np.ndarray, at: np.ndarray, n: int) ->
 
 
 class Bitmap:
-    """Which keys may be among the survivors. Two bits for each, in a number of bits that is a power of two."""
+    """Which keys may be among the survivors. Some bits for each, in a number of bits that is a power of two."""
 
     def __init__(self, bits: int, rows: list[tuple[int, bytes]]):
         self.mask = np.uint64(bits - 1)
@@ -150,17 +152,20 @@ class Bitmap:
             self.bytes[bucket * BUCKET_BITS // 8 : (bucket + 1) * BUCKET_BITS // 8] = np.frombuffer(part, np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for slot in (keys & self.mask, (keys >> np.uint64(32)) & self.mask):
-            out &= (self.bytes[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        out, left = np.zeros(len(keys), bool), np.arange(len(keys))
+        for i in range(PROBES):
+            slot = ((keys & self.mask) + np.uint64(i) * ((keys >> np.uint64(32)) & self.mask)) & self.mask
+            bit = self.bytes[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)
+            left, keys = left[bit & 1 == 1], keys[bit & 1 == 1]
+        out[left] = True
         return out
 
 
 def bitmap_of(keys: DataFrame) -> Bitmap:
     """The bitmap of stored keys: built in the tasks, at most 16 MiB on the driver; beyond its size it lets more through."""
     bits = max(BUCKET_BITS, min(MOST_BITS, 1 << math.ceil(math.log2(KEY_BITS * max(1, keys.count())))))
-    slot = F.explode(F.array(F.col("key"), F.shiftrightunsigned("key", 32)))
-    slots = keys.select(slot.alias("slot")).select(F.pmod("slot", F.lit(bits)).alias("slot"))
+    first, step = F.pmod("key", F.lit(bits)), F.pmod(F.shiftrightunsigned("key", 32), F.lit(bits))
+    slots = keys.select(F.explode(F.array(*[F.pmod(first + i * step, F.lit(bits)) for i in range(PROBES)])).alias("slot"))
     placed = slots.select(F.floor(F.col("slot") / BUCKET_BITS).alias("bucket"), F.pmod("slot", F.lit(BUCKET_BITS)).alias("at"))
     rows = placed.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect()
     return Bitmap(bits, [(r["bucket"], bytes(r["bits"])) for r in rows])
