@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, collocations, exact_dedup, html, language, mixing, quality, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, collocations, exact_dedup, filter_audit, html, language, mixing, quality, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -204,3 +204,47 @@ FROM d QUALIFY rank <= 2000
 """)
 def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf, "documents"))
+
+
+@query(r"""
+WITH w AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce(quality = 1, false) AS good,
+         coalesce(toxic = 1, false) AS toxic, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, max(CAST(quality = 1 AS INT)) AS quality, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+  ) l ON d.doc_id = l.doc_id
+), f AS (
+  SELECT part, good, toxic, list_concat(
+    CASE WHEN len(words) < 200 THEN ['A'] ELSE [] END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN ['B'] ELSE [] END,
+    CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text) THEN ['C'] ELSE [] END,
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN ['D'] ELSE [] END,
+    CASE WHEN coalesce(min(doc_id) OVER (PARTITION BY text) < coalesce(doc_id, 9223372036854775807), false) THEN ['E'] ELSE [] END
+  ) AS fails FROM w
+), m AS MATERIALIZED (
+  SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL
+), l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a JOIN l b ON b.x <> a.x JOIN l c ON c.x NOT IN (a.x, b.x)
+  JOIN l d ON d.x NOT IN (a.x, b.x, c.x) JOIN l e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x, string_split(filter_order[1 : step - 1], '') AS before
+  FROM o, range(1, 6) r(step)
+), t AS (
+  SELECT part, filter_order, step, x,
+         sum(CASE WHEN NOT list_has_any(fails, before) AND NOT list_contains(fails, x) THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT list_has_any(fails, before) AND list_contains(fails, x) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN list_has_any(fails, before) AND list_contains(fails, x) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = [x] THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN good AND NOT list_has_any(fails, before) AND list_contains(fails, x) THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN toxic AND NOT list_has_any(fails, before) AND list_contains(fails, x) THEN n ELSE 0 END) AS toxic_lost
+  FROM m, s GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM t
+""")
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_filters(spark, f"{sf}/documents.parquet", _table(spark, sf, "labels"))
