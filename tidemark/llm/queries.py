@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, collocations, exact_dedup, filter_audit, html, language, mixing, quality, secrets, simhash, token_counts, top_k
+from tidemark.llm import byte_bpe, collocations, embedding_dedup, exact_dedup, filter_audit, html, language, mixing, quality, secrets, simhash, token_counts, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -248,3 +248,8 @@ FROM t
 """)
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_filters(spark, f"{sf}/documents.parquet", _table(spark, sf, "labels"))
+
+
+@query()
+def op13_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(_table(spark, sf, "embeddings"))
