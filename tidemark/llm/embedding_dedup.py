@@ -25,7 +25,7 @@ from tidemark.llm.text import Shelf, smallest_hashes
 
 LEAST = 0.93
 #: Nodes of a shard, about; pivots of a split, at most; parts that a node goes to.
-SHARD_ROWS, PIVOTS, OVERLAP = 2048, 64, 3
+SHARD_ROWS, PIVOTS, OVERLAP = 8192, 64, 2
 DEGREE, CANDIDATES, ALPHA, FAR = 16, 48, 1.2, 2
 BEAM, MEDOIDS = 16, 8
 #: Nodes that are held against all others, the recall they must show, and builds until they do.
@@ -123,7 +123,10 @@ def _searched(shard: pa.Table, least: float, beam: int) -> pa.Table:
     here = ids[at] == flat
     near = np.split(at[here], np.searchsorted(owner[here], np.arange(1, len(ids))))
     graph = Graph(vectors, near, medoids(vectors, MEDOIDS))
-    links = np.concatenate([graph.in_range(np.arange(a, min(len(ids), a + BLOCK)), least, beam) for a in range(0, len(ids), BLOCK)])
+    # One byte for each pair of a shard: its rows are bounded.
+    links = np.zeros((len(ids), len(ids)), bool)
+    for a in range(0, len(ids), BLOCK):
+        links[a : a + BLOCK] = graph.in_range(np.arange(a, min(len(ids), a + BLOCK)), least, beam)
     links |= links.T
     np.fill_diagonal(links, False)
     root = smallest_reachable(links)
@@ -135,7 +138,8 @@ def _searched(shard: pa.Table, least: float, beam: int) -> pa.Table:
                 earlier.setdefault(other, []).append(i)
     for both in earlier.values():
         links[np.ix_(both, both)] = False
-    return pa.table({"node": ids, "links": links @ sizes, "root": ids[root]})
+    counts = np.concatenate([links[a : a + BLOCK] @ sizes for a in range(0, len(ids), BLOCK)])
+    return pa.table({"node": ids, "links": counts, "root": ids[root]})
 
 
 def _linked(nodes: DataFrame, shelf: Shelf, least: float, rows: int, overlap: int, beam: int) -> DataFrame:

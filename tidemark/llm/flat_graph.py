@@ -134,10 +134,11 @@ class Graph:
 
 def smallest_reachable(links: np.ndarray) -> np.ndarray:
     """For each row of a symmetric matrix of links the smallest row that chains of them reach."""
-    root = np.arange(len(links))
+    n = len(links)
+    root = np.arange(n)
     while True:
-        after = np.where(links, root, len(links)).min(axis=1, initial=len(links))
-        after = np.minimum(root, after)
+        parts = [np.where(links[a : a + BLOCK], root, n).min(axis=1, initial=n) for a in range(0, n, BLOCK)]
+        after = np.minimum(root, np.concatenate([root[:0], *parts]))
         after = after[after]
         if (after == root).all():
             return root
