@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,29 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(setting, ARROW_BYTES)
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def white_blocks(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in blocks of about `size`, cut where white space begins: no word is cut, and none is lost."""
+    at = 0
+    while len(text) - at > size:
+        border = _SPACE.search(text, at + size)
+        if border is None:
+            break
+        yield text[at : border.start()]
+        at = border.start()
+    yield text[at:] if at else text
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Spark uses a Python worker again for other tasks, whose memory counts on top."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

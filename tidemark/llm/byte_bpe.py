@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import gathered, text_bytes
+from tidemark.llm.batches import bounded_batches, gathered, give_back, text_bytes
 
-BATCH_BYTES = 8 << 20
-MOST_REMEMBERED = 300_000
+BATCH_BYTES = 4 << 20
+MOST_REMEMBERED = 200_000
 DECODE_ROWS = 256
 #: Up to so many positions of one merge are cheaper one by one than as arrays.
 FEW = 6
@@ -238,6 +238,63 @@ class Encoder:
         return out
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], bpe: ByteBpe) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """Ids of documents with the lists of their tokens' ids, some rows at a time."""
+    encoder = Encoder(bpe)
+    for parts in gathered(batches, "text", BATCH_BYTES):
+        texts = [t.decode("utf-8", "replace") for p in parts for t in text_bytes(p.column("text"))]
+        ids, at = encoder.encode(texts), 0
+        for p in parts:
+            rows = ids[at : at + p.num_rows]
+            at += p.num_rows
+            ends = np.cumsum([0, *map(len, rows)]) // 4
+            flat = pa.array(np.frombuffer(b"".join(rows), np.int32))
+            yield p.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+    del encoder
+    give_back()
+
+
+def _token_bytes(bpe: ByteBpe) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens by id, one behind the other, and where each begins."""
+    listed = [bpe.tokens.get(i, b"") for i in range(max(bpe.tokens) + 1)]
+    return np.frombuffer(b"".join(listed), np.uint8), np.cumsum([0, *map(len, listed)])
+
+
+def _decoded(lists: pa.ListArray, flat: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of each list of ids; a null list gives null, an id not in the vocabulary fails."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    if len(ids) and not (0 <= ids.min() and ids.max() < len(starts) - 1 and np.diff(starts)[ids].all()):
+        raise ValueError("an id is not in the vocabulary")
+    content, ends = decode_arrays(ids, np.r_[0, np.cumsum(sizes)], flat, starts)
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(content)]
+    decoded = pa.Array.from_buffers(pa.binary(), len(lists), buffers)
+    return pc.if_else(lists.is_valid(), decoded, pa.scalar(None, pa.binary()))
+
+
+def _given(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`encode` and `decode` in one task: doc_id, ids and decoded. The ids go to the JVM once, and one worker does both."""
+    bpe = load_byte_bpe(vocabulary, pattern)
+    sent = docs.sparkSession.sparkContext.broadcast((bpe, _token_bytes(bpe)))
+    given = _given(docs, id_col, text_col)
+    fields = [given.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, (flat, starts) = sent.value
+        for doc_ids, lists in _encoded(batches, bpe):
+            for at in range(0, len(lists), DECODE_ROWS):
+                part = lists.slice(at, DECODE_ROWS)
+                columns = [doc_ids.slice(at, DECODE_ROWS), part, _decoded(part, flat, starts)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+
+    return given.mapInArrow(run, T.StructType(fields))
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id and `ids`, the array of token ids of the whole text, without special tokens.
 
@@ -247,21 +304,10 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str = "doc
     sent = docs.sparkSession.sparkContext.broadcast(load_byte_bpe(vocabulary, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
-        for parts in gathered(batches, "text", BATCH_BYTES):
-            texts = [t.decode("utf-8", "replace") for p in parts for t in text_bytes(p.column("text"))]
-            ids, at = encoder.encode(texts), 0
-            for p in parts:
-                rows = ids[at : at + p.num_rows]
-                at += p.num_rows
-                ends = np.cumsum([0, *map(len, rows)]) // 4
-                flat = pa.array(np.frombuffer(b"".join(rows), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([p.column("doc_id"), lists], ["doc_id", "ids"])
-
-    given = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")
-    )
+        for doc_ids, lists in _encoded(batches, sent.value):
+            yield pa.RecordBatch.from_arrays([doc_ids, lists], ["doc_id", "ids"])
+
+    given = _given(docs, id_col, text_col)
     return given.mapInArrow(run, T.StructType([given.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
@@ -279,24 +325,13 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str, *, ids_col: str =
 
     All columns are kept; one that is named `to` is replaced. Without rows the result is empty.
     """
-    tokens = load_byte_bpe(vocabulary, pattern).tokens
-    listed = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-    starts = np.cumsum([0, *map(len, listed)])
-    sent = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(listed), np.uint8), starts))
+    sent = encoded.sparkSession.sparkContext.broadcast(_token_bytes(load_byte_bpe(vocabulary, pattern)))
     schema = T.StructType([f for f in encoded.schema if f.name != to] + [T.StructField(to, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, starts = sent.value
         for batch in (b.slice(i, DECODE_ROWS) for b in batches for i in range(0, b.num_rows, DECODE_ROWS)):
-            lists = batch.column(ids_col)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(ids) and not (0 <= ids.min() and ids.max() < len(starts) - 1 and np.diff(starts)[ids].all()):
-                raise ValueError("an id is not in the vocabulary")
-            content, ends = decode_arrays(ids, np.r_[0, np.cumsum(sizes)], flat, starts)
-            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(content)]
-            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
-            decoded = pc.if_else(lists.is_valid(), decoded, pa.scalar(None, pa.binary()))
+            decoded = _decoded(batch.column(ids_col), flat, starts)
             columns = {f.name: batch.column(f.name) for f in schema if f.name != to}
             yield pa.RecordBatch.from_pydict(columns | {to: decoded})
 

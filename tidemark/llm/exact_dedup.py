@@ -106,7 +106,7 @@ def exact_dedup(
 
 def _rest(group: str, width: int) -> Column:
     """What is left of the text behind its digit, for rows that are in a group."""
-    return F.when(F.col(group).isNotNull(), F.substring("text", width + 1, 1 << 30)).alias("text")
+    return F.when(F.col(group).isNotNull(), F.substring("text", width + 1, (1 << 31) - 1)).alias("text")
 
 
 def _digit(content: Column, width: int) -> Column:

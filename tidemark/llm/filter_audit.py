@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.llm.batches import bounded_batches, text_bytes
+from tidemark.llm.batches import bounded_batches, text_bytes, white_blocks
 from tidemark.llm.text import Shelf, filled
 from tidemark.operators.skew import spread
 
@@ -33,12 +33,10 @@ from tidemark.operators.skew import spread
 FILTERS = "ABCDE"
 COPY = 1 << 4
 FILES_PER_BATCH = 4
-WORD_BLOCK = 1 << 20
 #: Stands for a null id: it is larger than all others.
 BEYOND = 1 << 63
 
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
-_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 @dataclass(frozen=True)
@@ -52,19 +50,13 @@ class Limits:
     signs: bytes = rb"[#$%&*|]"
 
 
-def counted_words(text: bytes, block: int = WORD_BLOCK) -> tuple[int, int]:
+def counted_words(text: bytes, block: int = 1 << 20) -> tuple[int, int]:
     """Number of words and of different words; a long text is split in blocks, and only its different words are held."""
-    if len(text) <= block:
-        words = text.split()
-        return len(words), len(set(words))
-    n, different, at = 0, set(), 0
-    while at < len(text):
-        border = _SPACE.search(text, at + block)
-        end = border.start() if border else len(text)
-        words = text[at:end].split()
+    n, different = 0, set()
+    for part in white_blocks(text, block):
+        words = part.split()
         n += len(words)
         different.update(words)
-        at = end
     return n, len(different)
 
 

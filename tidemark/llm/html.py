@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import bounded_batches, slices
 from tidemark.llm.text import Shelf
 
 #: A text is the template's if so many pages, and all of them, have it in the same place.
@@ -114,7 +114,7 @@ def parse(page: str) -> Element:
     """The page's block elements and text blocks. Inline tags only go on with the block, unless they name themselves junk."""
     root = Element("")
     # All open elements by name. Those without a node stand with the node that takes their text, so end tags find their own.
-    stack, tags, text, at = [root], [""], [], 0
+    stack, tags, text, at, articles = [root], [""], [], 0, 0
     opened = Counter(tags)
 
     def flush() -> None:
@@ -150,15 +150,20 @@ def parse(page: str) -> Element:
         flush()
         if name in VOID:
             continue
-        if name not in INLINE and "p" in tags[-8:]:
+        if name not in INLINE and opened["p"] and _in_reach(tags):
             close("p")
         if name == "body":
             close("head")
         for other in CLOSES_ITSELF.get(name, ()):
             if tags[-1] == other:
                 close(other)
-        element = Element(f"{name} {names}".strip(), depth=stack[-1].depth + 1)
-        telling = name in TELLING or _is_junk(element.key) and not _is_junk(stack[-1].key)
+        # A further article that names itself a comment or the like is no article.
+        shown = name
+        if name == "article":
+            shown = "div" if articles and _is_junk(f"div {names}") else name
+            articles += shown == name
+        element = Element(f"{shown} {names}".strip(), depth=stack[-1].depth + 1)
+        telling = shown in TELLING or _is_junk(element.key) and not _is_junk(stack[-1].key)
         if element.depth < MOST_DEPTH or telling and element.depth < 2 * MOST_DEPTH:
             stack[-1].children.append(element)
         else:
@@ -172,6 +177,18 @@ def parse(page: str) -> Element:
     return root
 
 
+#: Elements that an open paragraph outside of them is not closed from.
+_OWN_PARAGRAPHS = set("applet button caption html marquee object table td template th".split())
+
+
+def _in_reach(tags: list[str]) -> bool:
+    """Whether a block that begins here ends an open paragraph."""
+    for name in reversed(tags):
+        if name == "p" or name in _OWN_PARAGRAPHS:
+            return name == "p"
+    return False
+
+
 def _find_junk(root: Element) -> None:
     """Mark elements that name themselves junk, but none that holds most of the page's text and all that tells an article."""
     held: dict[int, tuple[int, int]] = {}
@@ -551,6 +568,7 @@ def extract_text(
     names no host count as one host. Ids may be null or repeated. Without rows the result is empty. Other columns of
     `pages`, whatever their names, are not looked at.
     """
+    bounded_batches(pages.sparkSession)
     shelf = Shelf(pages.sparkSession, "html")
     given = pages.select(
         F.col(f"`{id_col}`").alias("page_id"),

@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import bounded_batches, slices
 from tidemark.llm.text import fold, smallest_hashes
 
 #: Documents of each language that are learned from, at most: those with the smallest hash of their id.
@@ -282,6 +282,7 @@ def identify(
         F.col(f"`{text_col}`").cast("string").alias("text"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     )
+    bounded_batches(docs.sparkSession)
     # One row of a fixed number of counts for each language.
     rows = _counted(_sample(given, most_learned), columns).collect()
     shape = (len(ORDERS), columns)
@@ -296,7 +297,8 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = sent.value
         scorer = WordScores(languages)
-        for part in slices(batches, "text", BATCH_BYTES):
+        # Every word has a score for each language: the more there are, the fewer texts at a time.
+        for part in slices(batches, "text", BATCH_BYTES * 4 // max(4, len(languages.names))):
             texts = [t or "" for t in part.column("text").to_pylist()]
             predicted, shares, found = [], [], []
             done = label(texts if languages.names else [""] * len(texts), scorer, switch)

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.batches import text_bytes
+from tidemark.llm.batches import bounded_batches, give_back, text_bytes, white_blocks
 from tidemark.llm.text import filled, fold
 
 #: Labelled rows of each label that the classifier is fitted on, at most: those with the smallest hash of their id.
@@ -91,22 +91,36 @@ class Terms:
         return found
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Columns and weights: the share of each shape and word, damped by the logarithm, and what the text is like as a whole."""
-        words, counts = text.split(), Counter(word_shapes(text))
-        n = max(1, len(words))
+        """Columns and weights: the share of each shape and word, damped by the logarithm, and what the text is like as a whole.
+
+        Each column once, with the sum of its weights, so that no text has more entries than there are columns. A long
+        text is counted in blocks.
+        """
+        counts, told, different, n, repeats, last = Counter(), Counter(), set(), 0, 0, None
+        for part in white_blocks(text):
+            words = part.split()
+            if words:
+                n += len(words)
+                repeats += sum(map(eq, words, words[1:])) + (words[0] == last)
+                last = words[-1]
+                different.update(words)
+            counts.update(word_shapes(part))
+            told.update(_SMALL.findall(part.lower()))
+        n = max(1, n)
         columns = [self.column(shape) for shape in counts]
-        told = Counter(_SMALL.findall(text.lower()))
         shares = np.fromiter(chain(counts.values(), told.values()), np.float64, len(counts) + len(told))
         weights = np.log1p(100 / n * shares) / np.log(101)
-        same = sum(map(eq, words, words[1:])) / n
-        size, varied = n.bit_length(), len(set(words)) / n
+        same = repeats / n
+        size, varied = n.bit_length(), len(different) / n
         columns += [
             self.column(b"size %d" % size),
             self.column(b"same %d" % int(same * 4)),
             self.column(b"varied %d %d" % (size // 2, int(varied * 5))),
         ]
         columns[len(counts) : len(counts)] = [self.word(word) for word in told]
-        return np.array(columns, np.int64), np.concatenate([weights, [0.1, 0.1 if same < 0.25 else 1.0, 0.2]])
+        weights = np.concatenate([weights, [0.1, 0.1 if same < 0.25 else 1.0, 0.2]])
+        found, back = np.unique(np.array(columns, np.int64), return_inverse=True)
+        return found, np.bincount(back, weights, len(found))
 
 
 def _balanced(columns: np.ndarray, weights: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -260,6 +274,7 @@ def quality_scores(
     Labels that are null or anything else, labels without a document, and null ids teach nothing; an id with both labels
     teaches both. Without any labelled row every score is 0.5.
     """
+    bounded_batches(docs.sparkSession)
     rows, known = labelled_rows(docs, labels, label_col, most_labelled, columns, id_col, text_col)
     model = fit(rows, known, columns, dimensions) if rows else None
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -272,6 +287,7 @@ def quality_scores(
                 yield pd.Series(np.full(len(batch), 0.5))
             else:
                 yield pd.Series(vote([of(bytes(t)) for t in batch], fitted, neighbours, sharpness))
+        give_back()
 
     return score(filled(text).cast("binary"))
 

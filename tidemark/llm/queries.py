@@ -100,8 +100,7 @@ def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def encoded_digests(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Documents encoded and decoded again: n_tokens and the digests of ids and bytes, and the ids if wanted."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    there_and_back = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
-    return there_and_back.select(
+    return byte_bpe.round_trip(docs, path, pattern).select(
         "doc_id",
         *(["ids"] if keep_ids else []),
         F.size("ids").cast("long").alias("n_tokens"),

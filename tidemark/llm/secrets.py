@@ -82,10 +82,13 @@ class Scanner:
         if longest >= 24:
             found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
         if longest >= self.least_chars:
-            base = sorted(found)
+            base, at, until = sorted(found), 0, -1
             for m in self.runs.finditer(text):
-                inside = any(a <= m.start() and m.end() <= b for a, _, b in base)
-                if not inside and self.is_random(m.group()):
+                # Both lists ascend: `until` is the farthest end of the base spans that begin before the run or with it.
+                while at < len(base) and base[at][0] <= m.start():
+                    until = max(until, base[at][2])
+                    at += 1
+                if m.end() > until and self.is_random(m.group()):
                     found.append((m.start(), 3, m.end()))
         return [(KINDS[k], a, b) for a, k, b in sorted(found)]
 

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import golay
+from tidemark.llm.batches import bounded_batches, give_back, white_blocks
 from tidemark.llm.components import components
 from tidemark.llm.sieve import sieved
 from tidemark.llm.text import Shelf, filled
@@ -34,11 +35,33 @@ SHINGLE_WORDS = 4
 MOST_BITS = 4
 SEED = 42
 PRINTED_ROWS = 256
+#: A longer text is hashed in blocks, whose counts are summed.
+BLOCK_BYTES = 1 << 20
 FEW = 32
 KEYED_ROWS = 2048
 REST_BITS = 64 - 2 * golay.BITS
 
 
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def long_fingerprint(text: bytes, words: int, seed: int, block: int = BLOCK_BYTES) -> int:
+    """SimHash of one text in blocks: each goes on with the last words of the one before."""
+    digest, counts, n, carried, whole = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, [], True
+    for part in white_blocks(text, block):
+        found = carried + part.lower().split()
+        hashes = [digest(b" ".join(found[i : i + words]), seed) for i in range(len(found) - words + 1)]
+        if hashes:
+            counts += _set_bits(np.array(hashes, "<u8"))
+            n, whole = n + len(hashes), False
+        carried = found[max(0, len(found) - words + 1) :] if words > 1 else []
+    if whole and carried:
+        return digest(b" ".join(carried), seed)
+    return sum(1 << i for i, c in enumerate(counts.tolist()) if 2 * c > n)
+
+
 def fingerprints(texts: Sequence[bytes], words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
     """SimHash of each text: a bit is 1 if it is set in over half the XXH64 of the text's shingles, repeats included.
 
@@ -46,7 +69,10 @@ def fingerprints(texts: Sequence[bytes], words: int = SHINGLE_WORDS, seed: int =
     """
     digest = xxhash.xxh64_intdigest
     hashes, sizes = [], np.zeros(len(texts), np.int64)
+    long = {i: long_fingerprint(t, words, seed) for i, t in enumerate(texts) if len(t) > BLOCK_BYTES}
     for i, text in enumerate(texts):
+        if i in long:
+            continue
         found = text.lower().split()
         if not found:
             continue
@@ -71,6 +97,8 @@ def fingerprints(texts: Sequence[bytes], words: int = SHINGLE_WORDS, seed: int =
             totals[mine[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int32)
         packed = np.packbits(2 * totals > sizes[some][:, None], axis=1, bitorder="little")
         out[some] = packed.view("<u8").ravel()
+    for i, value in long.items():
+        out[i] = value
     return out
 
 
@@ -119,6 +147,7 @@ def _print_of(words: int):
             for at in range(0, len(texts), PRINTED_ROWS):
                 out.append(fingerprints([bytes(t) for t in texts.iloc[at : at + PRINTED_ROWS]], words))
             yield pd.Series(np.concatenate(out).view(np.int64))
+        give_back()
 
     return prints
 
@@ -196,6 +225,7 @@ def near_dedup(
     """
     if not 0 <= most_bits <= 4:
         raise ValueError("the keys find fingerprints at most 4 bits apart")
+    bounded_batches(docs.sparkSession)
     shelf = Shelf(docs.sparkSession, "simhash")
     text = filled(F.col(f"`{text_col}`")).cast("binary")
     printed = docs.select(
