@@ -167,6 +167,24 @@ def key_chunk_rows(spark, sf):
     return ranges.with_chunks(orders, "o_orderkey", 1000).select("o_orderkey", "chunk_id")
 
 
+@query("SELECT l_orderkey, CAST((row_number() OVER (ORDER BY l_orderkey) - 1) // 1000 AS BIGINT) AS page_id FROM lineitem")
+def page_grid(spark, sf):
+    return ranges.page_grid(_read(spark, sf, "lineitem"), ["l_orderkey"]).select("l_orderkey", "page_id")
+
+
+@query("SELECT COUNT(*) AS n_rows, true AS without_gaps, true AS balanced FROM lineitem")
+def equal_depth_chunks(spark, sf):
+    # Squared, the keys are so unevenly spread that chunks of equal width are not of equal depth.
+    skewed = _read(spark, sf, "lineitem").select((F.col("l_orderkey") * F.col("l_orderkey")).alias("key"))
+    chunks = ranges.equal_depth_bounds(skewed, "key", 16)
+    bounds = F.sort_array(F.collect_list("lower")), F.sort_array(F.collect_list("upper"))
+    return chunks.agg(
+        F.sum("n_rows").alias("n_rows"),
+        (F.slice(bounds[0], F.lit(2), F.size(bounds[0])) == F.slice(bounds[1], F.lit(1), F.size(bounds[1]) - 1)).alias("without_gaps"),
+        (F.max("n_rows") <= 2 * F.sum("n_rows") / 16).alias("balanced"),
+    )
+
+
 # ---------------------------------------------------------------- writes
 
 

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`; in local mode, where unset, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The setting itself cannot be changed in a running session.
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
