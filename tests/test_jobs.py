@@ -359,3 +359,53 @@ def test_stream_goes_on_after_unreadable_cells(spark, run, tmp_path):
     assert spark.table(run.rejects).count() == 1
     with pytest.raises(Exception, match="LoadFailed|unreadable"):
         start("strict marks", strict=True)
+
+
+@pytest.mark.parametrize("step", [jobs.refresh, jobs.full_load])
+def test_a_load_that_is_run_again_leaves_one_set_of_rejects(spark, run, step):
+    for _ in range(2):
+        step(run, CONFIG, FIELDS, landed(spark, *MIXED), strict=False)
+    assert spark.table(run.rejects).count() == spark.table(run.audits).count() == 1
+    # What was mended at the source is no reject any more.
+    jobs.refresh(run, CONFIG, FIELDS, landed(spark, MIXED[0]), strict=False)
+    assert spark.table(run.rejects).filter("load like '% refresh'").count() == 0
+
+
+@pytest.mark.parametrize("size", [None, 10])
+def test_overlapping_refreshes_lose_nothing(spark, run, monkeypatch, size):
+    from dataclasses import replace
+
+    config = replace(CONFIG, layout_range=size) if size else CONFIG
+    jobs.full_load(run, config, FIELDS, landed(spark, *OLD))
+    write, others = jobs.write_version, [("99", "other", "3/10/2024", "T"), ("98", "other", "3/10/2024", "T")]
+
+    def slow(*args, **options):
+        path = write(*args, **options)
+        if others:
+            other = jobs.open_run(spark, run.schema, DAY, moment(2), root=run.root)
+            jobs.refresh(other, config, FIELDS, landed(spark, others.pop()))
+        return path
+
+    monkeypatch.setattr(jobs, "write_version", slow)
+    if size is None:
+        monkeypatch.setattr("tidemark.plans.store.write_version", slow)
+    jobs.refresh(later(run), config, FIELDS, landed(spark, ("1", "mine", "3/10/2024", "T")))
+    assert {1, 98, 99} <= set(target(run)) and not others
+
+
+def test_a_reload_does_not_undo_a_refresh(spark, run, monkeypatch):
+    from tidemark.plans.store import Superseded
+
+    jobs.full_load(run, CONFIG, FIELDS, landed(spark, *OLD))
+    write = jobs.write_version
+
+    def slow(*args, **options):
+        path = write(*args, **options)
+        monkeypatch.setattr(jobs, "write_version", write)
+        jobs.refresh(later(run), CONFIG, FIELDS, landed(spark, ("7", "new", "3/10/2024", "T")))
+        return path
+
+    monkeypatch.setattr(jobs, "write_version", slow)
+    with pytest.raises(Superseded):
+        jobs.full_load(run, CONFIG, FIELDS, landed(spark, *OLD))
+    assert 7 in set(target(run))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -29,6 +29,7 @@ from tidemark.plans.config import TableConfig
 from tidemark.plans.store import (
     CHUNK,
     Layout,
+    Superseded,
     create_target,
     crowded,
     gather_chunks,
@@ -39,9 +40,10 @@ from tidemark.plans.store import (
     read_target,
     touched_chunks,
     update_target,
+    version_of,
     write_version,
 )
-from tidemark.sources.sinks import append, create_schema, create_table, drop, drop_schema, fresh_schema
+from tidemark.sources.sinks import create_by_load, create_schema, drop, drop_schema, fresh_schema, replace_load
 from tidemark.workspace import new_folder
 
 
@@ -49,6 +51,8 @@ from tidemark.workspace import new_folder
 HASH_CHUNKS, HASH_BATCHES = 64, 6400
 #: Hash buckets of a target whose key has no ranges.
 BUCKETS = 256
+#: Times that a refresh or backfill starts from the target again because other runs changed it.
+MOST_TRIES = 5
 
 
 class LoadFailed(RuntimeError):
@@ -109,11 +113,12 @@ def _columns(**kinds: T.DataType) -> T.StructType:
 
 
 REJECTS = _columns(
-    table_name=T.StringType(), load_ts=T.TimestampType(), chunk_id=T.LongType(), reason=T.StringType(), row=T.StringType()
-)
+    table_name=T.StringType(), load_ts=T.TimestampType(), chunk_id=T.LongType(), reason=T.StringType(), row=T.StringType(),
+    load=T.StringType(),
+)
 AUDITS = _columns(
     table_name=T.StringType(), load_ts=T.TimestampType(), chunk_id=T.LongType(), batches=T.LongType(),
-    uploaded=T.LongType(), failed=T.LongType(), succeeded=T.BooleanType(),
+    uploaded=T.LongType(), failed=T.LongType(), succeeded=T.BooleanType(), load=T.StringType(),
 )
 
 
@@ -129,8 +134,8 @@ def open_run(
     """Create the schema where missing and an empty staging schema. Targets live under `root`."""
     run = Run(spark, schema, root or new_folder(spark, schema), as_of, load_ts, lookback_days)
     create_schema(spark, schema, f"{run.root}/tables")
-    create_table(spark, run.rejects, REJECTS)
-    create_table(spark, run.audits, AUDITS)
+    create_by_load(spark, run.rejects, REJECTS)
+    create_by_load(spark, run.audits, AUDITS)
     fresh_schema(spark, run.staging, new_folder(spark, run.staging))
     return run
 
@@ -227,8 +232,13 @@ def audit_staged(config: TableConfig, staged: DataFrame, *, by_row: bool = False
     return load_audit(staged.select(chunk, batch, BAD_CELLS), "chunk_id", "batch_id", good)
 
 
-def _report(run: Run, config: TableConfig, rows: DataFrame, *, bad_rows: int, strict: bool) -> None:
-    """Store the audit of checked rows by chunk, and every bad row, if there are any, with its chunk and reason."""
+def _report(run: Run, config: TableConfig, rows: DataFrame, batch: str, *, bad_rows: int, strict: bool) -> None:
+    """Store the audit of checked rows by chunk, and every bad row, if there are any, with its chunk and reason.
+
+    They replace those of an earlier try of the same load: the same table, load time and batch.
+    """
+    moment = run.spark.range(1).select(run.moment().cast("string")).first()[0]
+    load = f"{config.table} {moment} {batch}"
     told = [F.lit(config.table).alias("table_name"), run.moment().cast("timestamp").alias("load_ts")]
     bad = rows.filter(F.col(BAD_CELLS) > 0).select(
         *told,
@@ -236,16 +246,17 @@ def _report(run: Run, config: TableConfig, rows: DataFrame, *, bad_rows: int, st
         F.concat(F.col(BAD_CELLS), F.lit(" unreadable or missing cells")).alias("reason"),
         F.to_json(F.struct(*[f"`{c}`" for c in rows.columns if c not in (BAD_CELLS, BAD_DATE)])).alias("row"),
     )
-    if bad_rows:
-        append(bad, run.rejects)
+    replace_load(run.spark, bad if bad_rows else None, run.rejects, load)
     audit = audit_staged(config, rows, by_row=not strict)
-    append(audit.select(*told, "*"), run.audits)
+    replace_load(run.spark, audit.select(*told, "*"), run.audits, load)
 
 
 def merge_staged(
-    run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False, strict: bool = True
+    run: Run, config: TableConfig, staged: DataFrame, *, only_if_newer: bool = False, strict: bool = True, batch: str = "refresh"
 ) -> Result:
-    """Upsert a staging table into its target, and store its audit.
+    """Upsert a staging table into its target, and store its audit under the name of the batch.
+
+    Where another run changes the target meanwhile, the rows are merged again into what it has become.
 
     Bad rows are stored in the rejects table. If strict, any of them fails the load before the target is changed;
     otherwise the good rows are merged.
@@ -262,7 +273,7 @@ def merge_staged(
     stored = {c.lower() for c in read_target(spark, name).columns}
     if only_if_newer and config.date_col.lower() not in stored:
         raise ValueError(f"{config.table}: to keep newer rows the target must store {config.date_col}; declare it")
-    _report(run, config, staged, bad_rows=facts["bad"], strict=strict)
+    _report(run, config, staged, batch, bad_rows=facts["bad"], strict=strict)
     if facts["bad"] and strict:
         total = audit_total(audit_staged(config, staged)).first()
         raise LoadFailed(f"{config.table}: {facts['bad']} unreadable rows, {total['failed']} in their batches")
@@ -280,19 +291,33 @@ def merge_staged(
     newer_by = config.date_col if only_if_newer else None
     options = {"only_if_newer": newer_by, "keys_from": staged, "broadcast_keys": small}
     layout = layout_of(spark, name)
-    if layout is None or crowded(spark, name):
-        update_target(upsert(read_target(spark, name), rows, keys, **options), name)
-        return done
-    chunks = touched_chunks(staged, layout)
     # With broadcast keys the target's rows stay in the tasks that read them, a partition or few in each.
     gathered = small and not newer_by
-    if gathered:
-        rows = gather_chunks(rows, layout).drop(CHUNK)
-    merged = upsert(read_chunks(spark, name, chunks), rows, keys, **options)
-    publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks)
+
+    def merge() -> None:
+        version = version_of(spark, name)
+        if layout is None or crowded(spark, name):
+            update_target(upsert(read_target(spark, name), rows, keys, **options), name, version)
+            return
+        chunks = touched_chunks(staged, layout)
+        new = gather_chunks(rows, layout).drop(CHUNK) if gathered else rows
+        merged = upsert(read_chunks(spark, name, chunks), new, keys, **options)
+        publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks, version)
+
+    _until_in_place(merge)
     return done
 
 
+def _until_in_place(step: Callable[[], None]) -> None:
+    """Run a step that reads and publishes a target again while other runs get in between, `MOST_TRIES` times."""
+    for left in reversed(range(MOST_TRIES)):
+        try:
+            return step()
+        except Superseded:
+            if not left:
+                raise
+
+
 def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame, *, strict: bool = True) -> Result:
     """Add and backfill newly declared columns, then upsert the rows changed in the recent window.
 
@@ -311,10 +336,11 @@ def full_load(
 ) -> Result:
     """Replace the target by the good rows of the whole source: one write, published only if it has rows.
 
-    Bad rows are stored in the rejects table and counted. If strict, any of them fails the load.
+    Bad rows are stored in the rejects table and counted. If strict, any of them fails the load. It fails too if another run
+    changed the target meanwhile: that run may have newer rows than the source had when it was read.
     """
     name = ensure_target(run, config, fields)
-    wanted = target_schema(fields)
+    version, wanted = version_of(run.spark, name), target_schema(fields)
     seen = Observation()
     # A retried task may count a row twice, which leaves "none" and "some" right.
     counts = F.count("*").alias("n"), F.count_if(F.col(BAD_CELLS) > 0).alias("bad")
@@ -322,13 +348,13 @@ def full_load(
     good = rows.observe(seen, *counts).filter(F.col(BAD_CELLS) == 0)
     path = write_version(align(good, wanted), name)
     if seen.get["bad"]:
-        _report(run, config, rows, bad_rows=seen.get["bad"], strict=strict)
+        _report(run, config, rows, "reload", bad_rows=seen.get["bad"], strict=strict)
         if strict:
             raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells")
     rejected = rows.filter(F.col(BAD_CELLS) > 0).count() if seen.get["bad"] else 0
     if not seen.get["n"] or rejected and run.spark.read.schema(wanted).parquet(path).isEmpty():
         raise LoadFailed(f"{config.table}: the source has no rows")
-    publish(run.spark, name, path, wanted)
+    publish(run.spark, name, path, wanted, version)
     return Result(config.table, "reload", read_target(run.spark, name).count(), rejected=rejected)
 
 
@@ -355,9 +381,14 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
         raise LoadFailed(f"{config.table}: {seen.get['bad']} rows with unreadable cells in new columns")
     if not config.reduce:
         require_unique_keys(staged, keys)
-    target = add_columns(read_target(spark, name), new)
-    filled = fill_columns(target, staged, keys, names)
-    publish(spark, name, write_version(filled, name), filled.schema)
+
+    def fill() -> None:
+        version, stored = version_of(spark, name), read_target(spark, name)
+        lacking = [f for f in new if f.name.lower() not in {c.lower() for c in stored.columns}]
+        filled = fill_columns(add_columns(stored, lacking), staged, keys, names)
+        publish(spark, name, write_version(filled, name), filled.schema, version)
+
+    _until_in_place(fill)
     drop(spark, run.staged(config))
     return Result(config.table, "backfill", new_columns=tuple(names))
 

@@ -35,6 +35,11 @@ _RANGE = "tidemark.layout.range"
 _BUCKETS = "tidemark.layout.buckets"
 _FOLDERS = "tidemark.folders"
 _MANIFEST = "tidemark.manifest"
+_VERSION = "tidemark.version"
+
+
+class Superseded(RuntimeError):
+    """Another run put a version in place after this one read the target; nothing was changed."""
 
 
 @dataclass(frozen=True)
@@ -70,6 +75,16 @@ def _folders(properties: dict[str, str]) -> list[str]:
     return [f for f in properties.get(_FOLDERS, "").split("\t") if f]
 
 
+def version_of(spark: SparkSession, name: str) -> str:
+    """Names what the target now is. Read before the target, it lets `publish` refuse to undo what others did meanwhile."""
+    return _properties(spark, name).get(_VERSION, "")
+
+
+def _unchanged(spark: SparkSession, name: str, based_on: str | None) -> None:
+    if based_on is not None and version_of(spark, name) != based_on:
+        raise Superseded(f"{name} was changed by another run")
+
+
 def layout_of(spark: SparkSession, name: str) -> Layout | None:
     return _layout(_properties(spark, name))
 
@@ -107,7 +122,7 @@ def _point(
             f"ON d.`{CHUNK}` = m.chunk AND m.folder = '{f}'"
             for f in folders
         )
-    properties = {_ROOT: root, _FOLDERS: "\t".join(folders), _MANIFEST: manifest}
+    properties = {_ROOT: root, _FOLDERS: "\t".join(folders), _MANIFEST: manifest, _VERSION: uuid.uuid4().hex}
     if layout:
         properties[_KEYS] = "\t".join([layout.key, *layout.more_keys])
         properties |= {_RANGE: str(layout.range or ""), _BUCKETS: str(layout.buckets or "")}
@@ -152,17 +167,22 @@ def _holds_rows(spark: SparkSession, path: str) -> bool:
     return any(f.getPath().getName().startswith(f"{CHUNK}=") for f in files.listStatus(place))
 
 
-def publish(spark: SparkSession, name: str, path: str, schema: T.StructType | None = None) -> None:
-    """Make the version at `path` the whole target, with its schema."""
+def publish(
+    spark: SparkSession, name: str, path: str, schema: T.StructType | None = None, based_on: str | None = None
+) -> None:
+    """Make the version at `path` the whole target, with its schema; `Superseded` if the target is no longer `based_on`."""
     properties, schema = _properties(spark, name), schema or read_target(spark, name).schema
     layout = _layout(properties)
     folders = [path] if layout is None or _holds_rows(spark, path) else []
+    _unchanged(spark, name, based_on)
     _point(spark, name, schema, properties[_ROOT], layout, folders)
 
 
-def publish_chunks(spark: SparkSession, name: str, path: str, touched: DataFrame) -> None:
-    """Put the chunks of `touched` from `path` in place; the others stay."""
+def publish_chunks(spark: SparkSession, name: str, path: str, touched: DataFrame, based_on: str | None = None) -> None:
+    """Put the chunks of `touched` from `path` in place; the others stay. `Superseded` if the target is no longer `based_on`,
+    or changes while the manifest is written."""
     properties, schema = _properties(spark, name), read_target(spark, name).schema
+    based_on = properties.get(_VERSION, "") if based_on is None else based_on
     layout, root, old = _layout(properties), properties[_ROOT], _folders(properties)
 
     def held(folder: str) -> DataFrame:
@@ -179,6 +199,7 @@ def publish_chunks(spark: SparkSession, name: str, path: str, touched: DataFrame
     manifest = f"{root}/manifest-{uuid.uuid4().hex}"
     after.coalesce(1).write.parquet(manifest)
     folders = sorted(r["folder"] for r in spark.read.parquet(manifest).select("folder").distinct().collect())
+    _unchanged(spark, name, based_on)
     _point(spark, name, schema, root, layout, folders, manifest)
 
 
@@ -193,10 +214,11 @@ def replace_target(df: DataFrame, name: str) -> None:
     publish(df.sparkSession, name, path, df.schema)
 
 
-def update_target(df: DataFrame, name: str) -> None:
-    """The target's rows become those of `df`, in the target's schema."""
+def update_target(df: DataFrame, name: str, based_on: str | None = None) -> None:
+    """The target's rows become those of `df`, in the target's schema; `Superseded` if it is no longer `based_on`."""
     spark = df.sparkSession
-    publish(spark, name, write_version(align(df, read_target(spark, name).schema), name))
+    schema = read_target(spark, name).schema
+    publish(spark, name, write_version(align(df, schema), name), schema, based_on)
 
 
 def touched_chunks(df: DataFrame, layout: Layout) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.columns import Field, align, declared_schema
 
@@ -28,6 +28,21 @@ def append(df: DataFrame, name: str) -> None:
     align(df, stored).write.mode("append").format("parquet").saveAsTable(name)
 
 
+def create_by_load(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """An empty table partitioned by its last column, `load`; an existing table is left alone."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (load)")
+
+
+def replace_load(spark: SparkSession, df: DataFrame | None, name: str, load: str) -> None:
+    """The rows of one load, and no others, become those of `df`: a load that is run again is there once."""
+    held = load.replace("\\", "/").replace("'", "")
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (load = '{held}')")
+    if df is not None:
+        rows = align(df.withColumn("load", F.lit(held)), spark.table(name).schema)
+        rows.write.mode("append").format("parquet").partitionBy("load").saveAsTable(name)
+
+
 def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 

@@ -28,8 +28,8 @@ def stream_refresh(
 ) -> StreamingQuery:
     """Upsert every landed file not seen yet, then stop.
 
-    Each micro-batch is staged, audited and merged like a refresh. The merge is idempotent by key, so a
-    batch that is run again after a failure changes nothing. With `only_if_newer` the order in which
+    Each micro-batch is staged, audited and merged like a refresh. The merge is idempotent by key and audit and rejects are
+    stored by batch, so a batch that is run again after a failure changes nothing. With `only_if_newer` the order in which
     files arrive does not matter either: an older row never replaces a newer one; the target must store the date.
     Bad rows are stored as rejects and the stream goes on; if strict, the first of them stops it.
     """
@@ -41,7 +41,7 @@ def stream_refresh(
         name = f"{run.staged(config)}_{number}"
         drop(run.spark, name)
         batch.write.format("parquet").saveAsTable(name)
-        merge_staged(run, config, run.spark.table(name), only_if_newer=only_if_newer, strict=strict)
+        merge_staged(run, config, run.spark.table(name), only_if_newer=only_if_newer, strict=strict, batch=f"{checkpoint} {number}")
         drop(run.spark, name)
 
     read = read_fields(config, fields)
