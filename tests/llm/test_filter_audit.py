@@ -76,7 +76,7 @@ def test_smaller_ids_that_come_later_are_retracted(spark, frame, odd_rows, tmp_p
     files = [rows[i : i + 30] for i in range(0, 120, 30)] + [odd_rows]
     labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None]), "x") for i in [*range(0, 40, 2), None, 4, 999]]
     path = stored(frame, tmp_path / "documents.parquet", files)
-    df = f.audit_filters(spark, path, spark.createDataFrame(labels, LABELS), files_per_batch=1)
+    df = f.audit_filters(spark, path, spark.createDataFrame(labels, LABELS), files_per_batch=1, buckets=3)
     everything = [r for rows in files for r in rows]
     assert got(df) == brute(everything, [r[:3] for r in labels])
 

@@ -33,6 +33,8 @@ from tidemark.operators.skew import spread
 FILTERS = "ABCDE"
 COPY = 1 << 4
 FILES_PER_BATCH = 4
+#: Buckets of digests, at least, and rows of the table for each where there are more.
+BUCKETS, BUCKET_ROWS = 1024, 1000
 #: Stands for a null id: it is larger than all others.
 BEYOND = 1 << 63
 
@@ -147,19 +149,27 @@ _CHANGES = "part string, mask int, good boolean, toxic boolean, n long"
 
 
 def _track(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    now, mask = Copies(), 0
+    """The texts of one bucket of digests: what arrived for each, and what is known of it."""
+    arrived: dict[str, tuple[int, Copies]] = {}
     for frame in frames:
-        for row in zip(*(frame[c].tolist() for c in ("mask", "low", "part", "good", "toxic", "n_first", "n_others"))):
-            mask, low, *kind, first, others = row
+        for row in zip(*(frame[c].tolist() for c in ("digest", "mask", "low", "part", "good", "toxic", "n_first", "n_others"))):
+            digest, mask, low, *kind, first, others = row
+            _, now = arrived.setdefault(digest, (mask, Copies()))
             now.add(int(low), tuple(kind), first, others)
-    before = None
-    if state.exists:
-        low, kinds = state.get
-        before = int(low), {(p, g, t): n for p, g, t, n in json.loads(kinds)}
-    after, out = changes(before, now, mask)
-    if after != before:
-        state.update((str(after[0]), json.dumps([[*kind, n] for kind, n in after[1].items() if n])))
-    yield pd.DataFrame([(part, m, good, toxic, n) for m, (part, good, toxic), n in out], columns=["part", "mask", "good", "toxic", "n"])
+    held = json.loads(state.get[0]) if state.exists else {}
+    sums: dict[tuple, int] = {}
+    for digest, (mask, now) in arrived.items():
+        before = None
+        if digest in held:
+            low, kinds = held[digest]
+            before = low, {(p, g, t): n for p, g, t, n in kinds}
+        (low, kinds), out = changes(before, now, mask)
+        held[digest] = low, [[*kind, n] for kind, n in kinds.items() if n]
+        for m, kind, n in out:
+            sums[m, kind] = sums.get((m, kind), 0) + n
+    state.update((json.dumps(held),))
+    told = [(part, m, good, toxic, n) for (m, (part, good, toxic)), n in sums.items()]
+    yield pd.DataFrame(told, columns=["part", "mask", "good", "toxic", "n"])
 
 
 def counters(
@@ -169,14 +179,18 @@ def counters(
     *,
     limits: Limits = Limits(),
     files_per_batch: int = FILES_PER_BATCH,
+    buckets: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     part_col: str = "lang",
 ) -> DataFrame:
     """(part, mask, good, toxic, n): rows of the table of Parquet files at `path` by the filters they fail.
 
-    The stream's checkpoint, with the state, and the counter changes are in the shared folder. State is one small row for
-    each different text; for tables whose texts do not fit in memory so, set the RocksDB state store in the session.
+    The stream's checkpoint, with the state, and the counter changes are in the shared folder. The state of a text is its
+    digest, smallest id and the counts of its rows, about 100 bytes. Texts share a state row by buckets of their digest,
+    about `BUCKET_ROWS` of the table's rows in each, since Spark calls Python once for each state row and micro-batch. A
+    bucket that receives rows is written anew: have few micro-batches. Where all state does not fit in the
+    executors' memory, set the RocksDB state store in the session.
     """
     bounded_batches(spark)
     shelf = Shelf(spark, "filter-audit")
@@ -196,10 +210,12 @@ def counters(
         "digest", "mask", "doc_id", "part", *(F.coalesce(F.col(c), F.lit(False)).alias(c) for c in ("good", "toxic"))
     )
     # To pandas ids go as text: a column of integers with a null would become floats.
-    combined = known.mapInArrow(_combined, _COMBINED).withColumn("low", F.coalesce(F.col("low").cast("string"), F.lit(str(BEYOND))))
-    tracked = combined.groupBy("digest").applyInPandasWithState(
-        _track, _CHANGES, "low string, kinds string", "update", GroupStateTimeout.NoTimeout
-    )
+    combined = known.mapInArrow(_combined, _COMBINED).withColumns({
+        "low": F.coalesce(F.col("low").cast("string"), F.lit(str(BEYOND))),
+        "bucket": F.pmod(F.xxhash64("digest"), F.lit(buckets or max(BUCKETS, spark.read.parquet(path).count() // BUCKET_ROWS))),
+        "digest": F.hex("digest"),
+    })
+    tracked = combined.groupBy("bucket").applyInPandasWithState(_track, _CHANGES, "texts string", "update", GroupStateTimeout.NoTimeout)
 
     def count(batch: DataFrame, number: int) -> None:
         sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
