@@ -277,12 +277,23 @@ def phrase_counts(texts: DataFrame, shelf: Shelf, survivors: DataFrame) -> DataF
     empty phrase, the number of its words."""
     sent = texts.sparkSession.sparkContext.broadcast(bitmap_of(survivors))
 
-    def rows(held: dict[tuple[bytes, bytes], int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.binary()), pa.array([k[1] for k in held], pa.binary()),
-             pa.array(list(held.values()), pa.int64())],
-            ["lang", "phrase", "a"],
-        )
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def rows(held: dict[tuple[bytes, bytes], int]) -> Iterator[pa.RecordBatch]:
+        """The counts by hash partition, `ROW_ENTRIES` to a row."""
+        parts: dict[int, list[tuple[bytes, bytes]]] = {}
+        for key in held:
+            parts.setdefault(xxhash.xxh64_intdigest(key[1], 2) % partitions, []).append(key)
+        cut = [(part, keys[i : i + ROW_ENTRIES]) for part, keys in parts.items() for i in range(0, len(keys), ROW_ENTRIES)]
+        for at in range(0, len(cut), ROW_ENTRIES):
+            some = cut[at : at + ROW_ENTRIES]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part for part, _ in some], pa.int32()),
+                 pa.array([[k[0] for k in keys] for _, keys in some], pa.list_(pa.binary())),
+                 pa.array([[k[1] for k in keys] for _, keys in some], pa.list_(pa.binary())),
+                 pa.array([[held[k] for k in keys] for _, keys in some], pa.list_(pa.int64()))],
+                ["part", "lang", "phrase", "a"],
+            )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[bytes, bytes], int] = {}
@@ -306,12 +317,29 @@ def phrase_counts(texts: DataFrame, shelf: Shelf, survivors: DataFrame) -> DataF
                     key = numbers[row[-1]], b" ".join([text[c] for c in row[:-1]])
                     held[key] = held.get(key, 0) + many
             if len(held) > HELD // 4:
-                yield rows(held)
+                yield from rows(held)
                 held = {}
-        yield rows(held)
+        yield from rows(held)
 
-    counted = texts.mapInArrow(count, "lang binary, phrase binary, a long")
-    return counted.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of one hash partition after the other: its phrases, all or nearly all of them frequent."""
+        now, sums = None, {}
+        for batch in batches:
+            for part, *lists in zip(*(batch.column(c).to_pylist() for c in ("part", "lang", "phrase", "a"))):
+                if part != now:
+                    yield summed_rows(sums)
+                    now, sums = part, {}
+                for lang, phrase, a in zip(*lists):
+                    sums[lang, phrase] = sums.get((lang, phrase), 0) + a
+        yield summed_rows(sums)
+
+    def summed_rows(sums: dict[tuple[bytes, bytes], int]) -> pa.RecordBatch:
+        columns = [pa.array([k[i] for k in sums], pa.binary()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(list(sums.values()), pa.int64())], ["lang", "phrase", "a"])
+
+    counted = texts.mapInArrow(count, "part int, lang array<binary>, phrase array<binary>, a array<long>")
+    met = counted.repartition(partitions, "part").sortWithinPartitions("part")
+    return met.mapInArrow(add, "lang binary, phrase binary, a long")
 
 
 def _distinct(keys: np.ndarray, table: np.ndarray) -> tuple[list[list[int]], list[int]]:
