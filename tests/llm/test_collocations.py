@@ -109,6 +109,24 @@ def test_summaries_lose_no_frequent_key():
         assert len(summary.keys) <= summary.capacity and summary.lost * summary.capacity < len(keys)
 
 
+def test_entries_of_a_row_come_back():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 2, 256):
+        keys = np.unique(rng.integers(0, 1 << 8 * c.HASH_BYTES, size))
+        keys[-1:] = (1 << 8 * c.HASH_BYTES) - 1
+        assert (np.cumsum(c.from_planes(c.planes(np.diff(keys, prepend=0), c.HASH_BYTES), c.HASH_BYTES)) == keys).all()
+        counts = rng.integers(1, 1 << 62, size)
+        assert (c.from_planes(c.planes(counts, 8), 8) == counts).all()
+
+
+def test_short_hashes_keep_their_partition():
+    hashes = np.random.default_rng(8).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    for partitions in (1, 7, 200):
+        short = c.shortened(hashes, partitions)
+        assert (short % np.uint64(partitions) == hashes % np.uint64(partitions)).all()
+        assert (short // np.uint64(partitions) < 1 << 8 * c.HASH_BYTES).all() and len(np.unique(short)) == 1000
+
+
 def test_equal_hashes_are_told_apart():
     table = np.array([[1, 2, 0], [1, 3, 0], [1, 2, 0]])
     rows, counts = c._distinct(np.zeros(3, np.uint64), table)

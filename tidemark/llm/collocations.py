@@ -1,6 +1,6 @@
 """Phrase collocations: Misra-Gries summaries find the frequent n-grams, a second pass counts them exactly.
 
-Texts are cut into pieces and words by arrays over their bytes. The n-grams of each length, as 64-bit hashes, go into
+Texts are cut into pieces and words by arrays over their bytes. The n-grams of each length, as hashes, go into
 summaries, one for each hash partition: every task sums what it read, summaries of a partition meet in one task and
 are merged there with a capacity that exceeds the partition's mass divided by the threshold, so that no frequent n-gram can
 be lost and memory is bounded by that capacity, not by the number of different n-grams. Longer n-grams enter only
@@ -35,6 +35,8 @@ NO_LANGUAGE = "und"
 BLOCK_BYTES = 2 << 20
 #: Different n-grams that a task holds before it hands them on, and entries of a row it hands on.
 HELD, ROW_ENTRIES = 1 << 20, 256
+#: Bytes of a hash that tell n-grams of one hash partition apart.
+HASH_BYTES = 5
 #: Bits of the bitmap for each key, and bits at most (16 MiB).
 KEY_BITS, MOST_BITS = 64, 1 << 27
 #: Bits that are set for each key: with 64 times as many bits as keys one in 80,000 others passes.
@@ -142,6 +144,23 @@ def gram_hashes(words: Words, languages: np.ndarray, at: np.ndarray, n: int) ->
     return out
 
 
+def shortened(hashes: np.ndarray, partitions: int) -> np.ndarray:
+    """Hashes of `HASH_BYTES` bytes in each hash partition: those modulo `partitions` is the partition. Of n keys of a
+    partition about n / 2^40 share their hash with another, which can only make them look more frequent."""
+    return hashes % np.uint64(partitions << 8 * HASH_BYTES)
+
+
+def planes(values: np.ndarray, size: int) -> bytes:
+    """Numbers of `size` bytes, first the lowest byte of each, then the next ones: high bytes are zeros, and compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:size].tobytes()
+
+
+def from_planes(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8).reshape(size, -1).T
+    return out.view("<i8").ravel()
+
+
 class Bitmap:
     """Which keys may be among the survivors. Some bits for each, in a number of bits that is a power of two."""
 
@@ -196,7 +215,7 @@ def added(keys: np.ndarray, counts: np.ndarray, more: list[np.ndarray]) -> tuple
 
 
 def _survivors(texts: DataFrame, shelf: Shelf, lengths: range, least: int, shorter: Bitmap | None) -> DataFrame:
-    """Hashes of all n-grams of these lengths that occur `least` times, and of some others.
+    """Mixed short hashes of all n-grams of these lengths that occur `least` times, and of some others.
 
     `shorter` holds the words that may be frequent, for pairs, or the pairs, for longer n-grams.
     """
@@ -210,27 +229,28 @@ def _survivors(texts: DataFrame, shelf: Shelf, lengths: range, least: int, short
             # Of each position, whether the part that begins there may be frequent; parts behind the block's end count too.
             starts = np.arange(max(0, len(words.hash) - part + 1))
             ok = np.zeros(len(words.hash), bool)
-            ok[starts] = sent.value.has(gram_hashes(words, languages, starts, part))
+            ok[starts] = sent.value.has(_mixed(shortened(gram_hashes(words, languages, starts, part), partitions)))
         for n in lengths:
             at = words.inside(n)
             if ok is not None:
                 for i in range(n - part + 1):
                     at = at[ok[at + i]]
-            yield gram_hashes(words, languages, at, n).view(np.int64)
+            yield shortened(gram_hashes(words, languages, at, n), partitions).view(np.int64)
 
     def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        part = (keys.view(np.uint64) % np.uint64(partitions)).astype(np.int32)
+        """Ascending keys and their counts by hash partition, `ROW_ENTRIES` to a row, as differences."""
+        part = (keys % partitions).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        part, keys, counts = part[order], keys[order], counts[order]
+        part, keys, counts = part[order], keys[order] // partitions, counts[order]
         bounds = np.searchsorted(part, np.arange(partitions + 1))
-        cuts = [np.arange(a, b, ROW_ENTRIES) for a, b in zip(bounds[:-1], bounds[1:])]
-        starts = np.concatenate(cuts)
+        starts = np.concatenate([np.arange(a, b, ROW_ENTRIES) for a, b in zip(bounds[:-1], bounds[1:])])
         if len(starts):
-            ends = pa.array(np.r_[starts, len(keys)].astype(np.int32))
+            ends = np.r_[starts[1:], len(keys)]
+            steps = [planes(np.diff(keys[a:b], prepend=0), HASH_BYTES) for a, b in zip(starts, ends)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part[starts]), pa.array(np.add.reduceat(counts, starts)),
-                 pa.ListArray.from_arrays(ends, pa.array(keys)), pa.ListArray.from_arrays(ends, pa.array(counts))],
-                ["part", "mass", "keys", "counts"],
+                [pa.array(part[starts]), pa.array(np.add.reduceat(counts, starts)), pa.array(steps, pa.binary()),
+                 pa.array([planes(counts[a:b], 8) for a, b in zip(starts, ends)], pa.binary())],
+                ["part", "mass", "steps", "counts"],
             )
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,26 +268,28 @@ def _survivors(texts: DataFrame, shelf: Shelf, lengths: range, least: int, short
                     keys, counts = keys[:0], counts[:0]
         yield from rows(*added(keys, counts, waiting))
 
-    parts = texts.mapInArrow(summarise, "part int, mass long, keys array<long>, counts array<long>")
+    parts = texts.mapInArrow(summarise, "part int, mass long, steps binary, counts binary")
     parts = shelf.put(parts, "summaries")
     # One row for each hash partition, as many as `spark.sql.shuffle.partitions` says.
     masses = parts.groupBy("part").agg(F.sum("mass").alias("mass"))
     met = parts.drop("mass").join(F.broadcast(masses), "part").repartition(partitions, "part").sortWithinPartitions("part")
 
+    def survivors(part: int, summary: Summary) -> pa.RecordBatch:
+        keys = summary.at_least(least) * partitions + part
+        return pa.RecordBatch.from_arrays([pa.array(_mixed(keys.view(np.uint64)).view(np.int64))], ["key"])
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, summary = None, None
         for batch in batches:
-            part, mass = batch.column("part").to_numpy(), batch.column("mass").to_numpy()
-            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            for a, b in zip(first, np.r_[first[1:], len(part)]):
-                if part[a] != now:
+            columns = (batch.column(c) for c in ("part", "mass", "steps", "counts"))
+            for part, mass, steps, counts in zip(*(c.to_pylist() for c in columns)):
+                if part != now:
                     if summary is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array(summary.at_least(least))], ["key"])
-                    now, summary = part[a], Summary(capacity_for(int(mass[a]), least))
-                entries = batch.slice(a, b - a)
-                summary.add(*(entries.column(c).flatten().to_numpy() for c in ("keys", "counts")))
+                        yield survivors(now, summary)
+                    now, summary = part, Summary(capacity_for(mass, least))
+                summary.add(np.cumsum(from_planes(steps, HASH_BYTES)), from_planes(counts, 8))
         if summary is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(summary.at_least(least))], ["key"])
+            yield survivors(now, summary)
 
     return shelf.put(met.mapInArrow(merge, "key long"), "survivors")
 
@@ -306,7 +328,7 @@ def phrase_counts(texts: DataFrame, shelf: Shelf, survivors: DataFrame) -> DataF
             for n in range(1, MOST_WORDS + 1):
                 at = words.inside(n)
                 keys = gram_hashes(words, hashes, at, n)
-                known = sent.value.has(keys)
+                known = sent.value.has(_mixed(shortened(keys, partitions)))
                 found.append((n, at[known], keys[known]))
                 for i in range(n):
                     used[found[-1][1] + i] = True
