@@ -15,6 +15,8 @@ class TableConfig:
     `batch_key` is the column whose ranges of `batch_range` keys form the chunks of a load.
     `layout_range` stores the target in chunks of so many values of the first key, so that a refresh rewrites only the
     chunks it touches; a key that is not an integer is stored in hash buckets. Choose it for some thousands of chunks.
+    `skip_unchanged` compares staged rows with the target first: rows that it has already keep their load time, and chunks
+    in which no row changes are not written.
     """
 
     table: str
@@ -24,6 +26,7 @@ class TableConfig:
     batch_range: int = CHUNK_RANGE
     reduce: bool = True
     layout_range: int | None = None
+    skip_unchanged: bool = False
 
     @property
     def chunk_key(self) -> str:

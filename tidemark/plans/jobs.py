@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -23,8 +24,10 @@ from tidemark.operators.dedupe import drop_exact_duplicates, latest_per_key, req
 from tidemark.operators.evolve import add_columns, missing_fields
 from tidemark.functions import days_before
 from tidemark.operators.ranges import LOOKBACK_DAYS, PAGE_ROWS, chunk_of, recent_window
-from tidemark.operators.skew import known
-from tidemark.operators.upsert import BROADCAST_KEY_BYTES, fill_columns, key_bytes, upsert
+from tidemark.operators.presence import departed_keys, presence
+from tidemark.operators.reconcile import EXTRA, changed_rows, differing_rows
+from tidemark.operators.skew import key_join, known
+from tidemark.operators.upsert import BROADCAST_KEY_BYTES, fill_columns, key_bytes, keys_fit_broadcast, upsert
 from tidemark.plans.config import TableConfig
 from tidemark.plans.store import (
     CHUNK,
@@ -71,6 +74,10 @@ class Result:
     error: str | None = None
     rejected: int = 0
     bad_dates: int = 0
+    #: Rows that the target had already, where those are skipped; they are among the uploaded ones.
+    unchanged: int = 0
+    #: Rows of keys that have left the source, which were removed.
+    removed: int = 0
 
 
 @dataclass(frozen=True)
@@ -294,22 +301,34 @@ def merge_staged(
     # With broadcast keys the target's rows stay in the tasks that read them, a partition or few in each.
     gathered = small and not newer_by
 
-    def merge() -> None:
-        version = version_of(spark, name)
+    def merge() -> int:
+        version, incoming, keys_of, same = version_of(spark, name), rows, staged, 0
+        if config.skip_unchanged:
+            held = read_target(spark, name) if layout is None else read_chunks(spark, name, touched_chunks(staged, layout))
+            differ = changed_rows(rows, held, keys, but=[STAMP], broadcast_keys=small)
+            incoming = keys_of = _stage(run, f"{run.staged(config)}_changed", differ)
+            differing = incoming.count()
+            same = rows.count() - differing
+            if not differing:
+                return same
+        merging = options | {"keys_from": keys_of}
         if layout is None or crowded(spark, name):
-            update_target(upsert(read_target(spark, name), rows, keys, **options), name, version)
-            return
-        chunks = touched_chunks(staged, layout)
-        new = gather_chunks(rows, layout).drop(CHUNK) if gathered else rows
-        merged = upsert(read_chunks(spark, name, chunks), new, keys, **options)
+            update_target(upsert(read_target(spark, name), incoming, keys, **merging), name, version)
+            return same
+        chunks = touched_chunks(keys_of, layout)
+        new = gather_chunks(incoming, layout).drop(CHUNK) if gathered else incoming
+        merged = upsert(read_chunks(spark, name, chunks), new, keys, **merging)
         publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks, version)
+        return same
 
-    _until_in_place(merge)
-    return done
+    unchanged = _until_in_place(merge)
+    if config.skip_unchanged:
+        drop(spark, f"{run.staged(config)}_changed")
+    return replace(done, unchanged=unchanged)
 
 
-def _until_in_place(step: Callable[[], None]) -> None:
-    """Run a step that reads and publishes a target again while other runs get in between, `MOST_TRIES` times."""
+def _until_in_place(step: Callable[[], Any]) -> Any:
+    """Run a step that reads and publishes a target again while other runs get in between, `MOST_TRIES` times; what it returns."""
     for left in reversed(range(MOST_TRIES)):
         try:
             return step()
@@ -393,6 +412,97 @@ def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: Dat
     return Result(config.table, "backfill", new_columns=tuple(names))
 
 
+def _remove(run: Run, config: TableConfig, gone: DataFrame, keys: Sequence[str]) -> int:
+    """Take the target's rows of some keys away, and no others; how many. With a layout, only their chunks are written."""
+    spark, name = run.spark, run.target(config)
+    gone = _stage(run, f"{run.staged(config)}_gone", gone)
+    layout = layout_of(spark, name)
+    # Chunks follow from the first key, or from all of them in hash buckets.
+    chunked = layout if layout and {layout.key, *layout.more_keys} <= set(gone.columns) else None
+    small = keys_fit_broadcast(gone, keys)
+
+    def take() -> int:
+        version = version_of(spark, name)
+        chunks = touched_chunks(gone, chunked) if chunked else None
+        rows = read_chunks(spark, name, chunks) if chunked else read_target(spark, name)
+        lost = key_join(rows, gone, keys, "left_semi", broadcast=small).count()
+        if lost:
+            kept = key_join(rows, gone, keys, "left_anti", broadcast=small)
+            if chunked and not crowded(spark, name):
+                publish_chunks(spark, name, write_version(kept, name, gathered=small), chunks, version)
+            else:
+                kept = key_join(read_target(spark, name), gone, keys, "left_anti", broadcast=small)
+                update_target(kept, name, version)
+        return lost
+
+    lost = 0 if gone.isEmpty() else _until_in_place(take)
+    drop(spark, f"{run.staged(config)}_gone")
+    return lost
+
+
+def remove_departed(run: Run, config: TableConfig, source: DataFrame, *, most_share: float = 0.1) -> Result:
+    """Remove the target's rows whose first key, an integer, no row of the whole source has any more.
+
+    The source needs that column alone, as text or a number. Presence is compared by bitmaps, rows are not joined for it. A
+    source without readable keys, or one that would take more than `most_share` of the target's keys away, is taken for broken:
+    `LoadFailed`, and the target is left as it was. Rows without a key stay.
+    """
+    spark, name = run.spark, run.target(config)
+    stored = read_target(spark, name)
+    key = _named(stored.schema, config.keys[0])
+    if not isinstance(key.dataType, T.IntegralType):
+        raise ValueError(f"{config.table}: {key.name} is not an integer; departed rows are found by `repair`")
+    theirs = conform(source, [Field(key.name, "INTEGER")]).filter(known([key.name]))
+    if theirs.isEmpty():
+        raise LoadFailed(f"{config.table}: the source has no keys")
+    path = new_folder(spark, "departed")
+    departed_keys(stored, theirs, key.name).write.parquet(path)
+    gone = spark.read.schema(T.StructType([key])).parquet(path)
+    leaving = gone.count()
+    if leaving:
+        held = presence(stored, key.name).agg(F.sum(F.bitmap_count("bits"))).first()[0]
+        if leaving > most_share * held:
+            raise LoadFailed(f"{config.table}: {leaving} of {held} keys are not in the source")
+    return Result(config.table, "remove", removed=_remove(run, config, gone, [key.name]) if leaving else 0)
+
+
+def compare(
+    run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame, *, buckets: int | None = None
+) -> DataFrame:
+    """The keys on which target and whole source differ, with `missing`, `extra` or `changed`; stored.
+
+    The source is cleaned and reduced as a load does; unreadable rows are left out. Chunks of `batch_range` keys are compared by
+    checksums first; keys that are not one integer are compared in hash buckets, `BUCKETS` unless given.
+    """
+    rows = _clean(run, source, fields, config.keys).filter(F.col(BAD_CELLS) == 0).drop(BAD_CELLS)
+    if config.reduce:
+        rows = latest_per_key(rows, list(config.keys), config.date_col)
+    rows = _stage(run, f"{run.staged(config)}_source", rows)
+    stored = read_target(run.spark, run.target(config))
+    one = len(config.keys) == 1 and isinstance(_named(stored.schema, config.keys[0]).dataType, T.IntegralType)
+    differ = differing_rows(
+        rows, stored, list(config.keys), width=config.batch_range, buckets=buckets or (None if one else BUCKETS), but=[STAMP]
+    )
+    return _stage(run, f"{run.staged(config)}_differing", differ)
+
+
+def repair(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
+    """Make the target what the whole source is, by writing only what differs: missing and changed rows are merged, extra ones
+    removed. Rows without a key are left as they are. A source without readable rows is refused."""
+    keys = list(config.keys)
+    differ = compare(run, config, fields, source).filter(known(keys))
+    rows = run.spark.table(f"{run.staged(config)}_source")
+    if rows.isEmpty():
+        raise LoadFailed(f"{config.table}: the source has no rows")
+    removed = _remove(run, config, differ.filter(F.col("what") == EXTRA).drop("what"), keys)
+    wrong = key_join(rows, differ.filter(F.col("what") != EXTRA), keys, "left_semi")
+    staged = _stage(run, run.staged(config), wrong.withColumn(BAD_CELLS, F.lit(0)))
+    done = merge_staged(run, config, staged, batch="repair")
+    for table in ("", "_source", "_differing"):
+        drop(run.spark, f"{run.staged(config)}{table}")
+    return replace(done, action="repair", removed=removed)
+
+
 @dataclass(frozen=True)
 class Source:
     """What one table's declaration and its current source rows are."""

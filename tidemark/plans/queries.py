@@ -22,7 +22,7 @@ from tidemark.functions import (
     storage_type,
     us_date_text,
 )
-from tidemark.operators import audit, columns, control, dedupe, evolve, ranges, upsert
+from tidemark.operators import audit, columns, control, dedupe, evolve, presence, ranges, reconcile, upsert
 from tidemark.operators.columns import Field, conform, declared_fields, declared_schema, fields_of
 from tidemark.plans import jobs, store
 from tidemark.plans.config import TableConfig
@@ -890,3 +890,52 @@ def stream_refresh_latest(spark, sf):
     stream.awaitTermination()
     jobs.close_run(run)
     return store.read_target(spark, run.target(config))
+
+
+# ---------------------------------------------------------------- source and target compared
+
+#: Orders that a target has lost, holds with another price, or holds though the source has none such.
+_LOST, _STALE, _STRAY = "o_orderkey % 1013 = 5", "o_orderkey % 1511 = 7", "o_orderkey % 1999 = 3"
+_SPOILED = f"""
+    SELECT * REPLACE (CASE WHEN {_STALE} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders
+    WHERE NOT {_LOST} UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM orders WHERE {_STRAY}
+"""
+
+
+def _spoiled_orders(spark, sf) -> tuple[DataFrame, DataFrame]:
+    orders = _read(spark, sf, "orders")
+    price = F.when(F.expr(_STALE), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    strays = orders.filter(_STRAY).withColumn("o_orderkey", -F.col("o_orderkey"))
+    return orders, orders.withColumn("o_totalprice", price).filter(f"NOT {_LOST}").unionByName(strays)
+
+
+_BY_100 = "CAST(floor(o_orderkey / 100) AS BIGINT) * 100"
+
+
+@query(
+    f"""
+    WITH t AS ({_SPOILED}),
+    bad AS (SELECT {_BY_100} AS lower FROM (FROM orders EXCEPT ALL FROM t UNION ALL (FROM t EXCEPT ALL FROM orders)) GROUP BY ALL),
+    a AS (SELECT {_BY_100} AS lower, COUNT(*) AS n FROM orders GROUP BY ALL), b AS (SELECT {_BY_100} AS lower, COUNT(*) AS n FROM t GROUP BY ALL)
+    SELECT lower, lower + 100 AS upper, COALESCE(a.n, 0) AS source_rows, COALESCE(b.n, 0) AS target_rows
+    FROM bad LEFT JOIN a USING (lower) LEFT JOIN b USING (lower)
+    """
+)
+def reconcile_chunks(spark, sf):
+    return reconcile.differing_chunks(*_spoiled_orders(spark, sf), ["o_orderkey"], width=100)
+
+
+@query(
+    f"""
+    SELECT o_orderkey, CASE WHEN {_LOST} THEN 'missing' ELSE 'changed' END AS what FROM orders WHERE {_LOST} OR {_STALE}
+    UNION ALL SELECT -o_orderkey, 'extra' FROM orders WHERE {_STRAY}
+    """
+)
+def reconcile_rows(spark, sf):
+    return reconcile.differing_rows(*_spoiled_orders(spark, sf), ["o_orderkey"], width=100)
+
+
+@query("SELECT l_orderkey FROM lineitem ANTI JOIN (SELECT o_orderkey AS l_orderkey FROM orders WHERE o_orderkey % 97 <> 11) USING (l_orderkey) GROUP BY ALL")
+def departed_keys(spark, sf):
+    orders = _read(spark, sf, "orders").filter("o_orderkey % 97 <> 11")
+    return presence.departed_keys(_read(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
