@@ -939,3 +939,54 @@ def reconcile_rows(spark, sf):
 def departed_keys(spark, sf):
     orders = _read(spark, sf, "orders").filter("o_orderkey % 97 <> 11")
     return presence.departed_keys(_read(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
+
+
+def _loaded(spark, target: DataFrame, **more) -> tuple[jobs.Run, TableConfig]:
+    """A run with a chunked target of these orders."""
+    run = _run(spark)
+    last = ranges.key_bounds(target, "o_orderkey").first()["max_key"]
+    config = TableConfig("orders", ("o_orderkey",), "o_orderdate", layout_range=last // 20 + 1, batch_range=1000, **more)
+    jobs.full_load(run, config, ORDER_FIELDS, _order_text(target))
+    return run, config
+
+
+@query(
+    f"""
+    SELECT {_ORDER_COLUMNS}, CASE WHEN o_orderdate >= DATE '2000-01-01' - 60 AND {_STALE}
+        THEN TIMESTAMP '{SECOND_LOAD}' ELSE TIMESTAMP '{FIRST_LOAD}' END AS updated_at FROM orders
+    WHERE o_orderdate >= DATE '2000-01-01' - 60 OR NOT {_STALE}
+    UNION ALL SELECT {_ORDER_COLUMNS}, TIMESTAMP '{FIRST_LOAD}' FROM (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders)
+    WHERE o_orderdate < DATE '2000-01-01' - 60 AND {_STALE}
+    """
+)
+def refresh_skips_unchanged(spark, sf):
+    """Only the recent rows that differ get a new load time; the others and the older ones keep theirs."""
+    orders = _read(spark, sf, "orders")
+    price = F.when(F.expr(_STALE), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    run, config = _loaded(spark, orders.withColumn("o_totalprice", price), skip_unchanged=True)
+    jobs.refresh(_later(run, lookback_days=60), config, ORDER_FIELDS, _order_text(orders))
+    jobs.close_run(run)
+    return store.read_target(spark, run.target(config))
+
+
+@query(
+    f"""
+    SELECT {_ORDER_COLUMNS}, CASE WHEN {_LOST} OR {_STALE} THEN TIMESTAMP '{SECOND_LOAD}' ELSE TIMESTAMP '{FIRST_LOAD}' END AS updated_at
+    FROM orders
+    """
+)
+def repair_target(spark, sf):
+    orders, spoiled = _spoiled_orders(spark, sf)
+    run, config = _loaded(spark, spoiled)
+    jobs.repair(_later(run), config, ORDER_FIELDS, _order_text(orders))
+    jobs.close_run(run)
+    return store.read_target(spark, run.target(config))
+
+
+@query(f"SELECT * FROM ({_FULL}) WHERE o_orderkey % 97 <> 11")
+def remove_departed(spark, sf):
+    orders = _read(spark, sf, "orders")
+    run, config = _loaded(spark, orders)
+    jobs.remove_departed(run, config, orders.filter("o_orderkey % 97 <> 11").select("o_orderkey"))
+    jobs.close_run(run)
+    return store.read_target(spark, run.target(config))
