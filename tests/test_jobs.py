@@ -104,15 +104,21 @@ def test_text_keys_are_stored_in_hash_buckets(spark, run):
     assert got == {"two": 9, "three": 3, "four": 4}
 
 
-def test_a_target_of_many_folders_is_written_anew(spark, run, monkeypatch):
+def test_a_target_of_many_folders_frees_the_smallest(spark, run, monkeypatch):
     monkeypatch.setattr(store, "MOST_FOLDERS", 3)
     config = TableConfig("account", ("id",), "changed", layout_range=10)
-    folders = []
+    jobs.full_load(run, config, FIELDS, landed(spark, *[(str(10 * i), "old", "3/9/2024", "T") for i in range(100, 120)]))
+    folders, written = [], []
     for i in range(6):
         jobs.refresh(later(run), config, FIELDS, landed(spark, (str(10 * i), f"n{i}", "3/9/2024", "T"), ("999", f"n{i}", "3/9/2024", "T")))
-        folders.append(len(store._folders(store._properties(spark, run.target(config)))))
-    assert folders == [1, 2, 3, 1, 2, 3]
-    assert {k: v[0] for k, v in target(run, config).items()} == {**{10 * i: f"n{i}" for i in range(6)}, 999: "n5"}
+        properties = store._properties(spark, run.target(config))
+        folders.append(len(store._folders(properties)))
+        held = spark.read.parquet(properties[store._MANIFEST]).groupBy("folder").count().collect()
+        written.append(sorted(r["count"] for r in held))
+    # The loaded twenty chunks are never written again.
+    assert folders == [2, 3, 3, 3, 3, 3] and all(w[-1] == 20 for w in written)
+    assert {k: v[0] for k, v in target(run, config).items() if k < 1000} == {**{10 * i: f"n{i}" for i in range(6)}, 999: "n5"}
+    assert len(target(run, config)) == 27
 
 
 def test_unreadable_keys_stop_a_backfill(spark, run):

@@ -34,7 +34,6 @@ from tidemark.plans.store import (
     Layout,
     Superseded,
     create_target,
-    crowded,
     gather_chunks,
     layout_of,
     publish,
@@ -44,6 +43,7 @@ from tidemark.plans.store import (
     touched_chunks,
     update_target,
     version_of,
+    with_smallest_folder,
     write_version,
 )
 from tidemark.sources.sinks import create_by_load, create_schema, drop, drop_schema, fresh_schema, replace_load
@@ -312,10 +312,10 @@ def merge_staged(
             if not differing:
                 return same
         merging = options | {"keys_from": keys_of}
-        if layout is None or crowded(spark, name):
+        if layout is None:
             update_target(upsert(read_target(spark, name), incoming, keys, **merging), name, version)
             return same
-        chunks = touched_chunks(keys_of, layout)
+        chunks = with_smallest_folder(spark, name, touched_chunks(keys_of, layout))
         new = gather_chunks(incoming, layout).drop(CHUNK) if gathered else incoming
         merged = upsert(read_chunks(spark, name, chunks), new, keys, **merging)
         publish_chunks(spark, name, write_version(merged, name, gathered=gathered), chunks, version)
@@ -423,15 +423,14 @@ def _remove(run: Run, config: TableConfig, gone: DataFrame, keys: Sequence[str])
 
     def take() -> int:
         version = version_of(spark, name)
-        chunks = touched_chunks(gone, chunked) if chunked else None
+        chunks = with_smallest_folder(spark, name, touched_chunks(gone, chunked)) if chunked else None
         rows = read_chunks(spark, name, chunks) if chunked else read_target(spark, name)
         lost = key_join(rows, gone, keys, "left_semi", broadcast=small).count()
         if lost:
             kept = key_join(rows, gone, keys, "left_anti", broadcast=small)
-            if chunked and not crowded(spark, name):
+            if chunked:
                 publish_chunks(spark, name, write_version(kept, name, gathered=small), chunks, version)
             else:
-                kept = key_join(read_target(spark, name), gone, keys, "left_anti", broadcast=small)
                 update_target(kept, name, version)
         return lost
 

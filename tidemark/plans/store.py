@@ -7,7 +7,7 @@ the old version until then, and a job that dies before that point has changed no
 A target with a layout keeps its rows in chunks, ranges of an integer key or hash buckets of any other. A refresh writes
 only the chunks it touches, to a new folder, and the view takes each chunk from the folder that the target's manifest, a
 small table, names for it. So its cost follows the changed chunks and not the table, and putting them in place is one
-statement for any number of them. A target of many folders is written anew by the next refresh.
+statement for any number of them. Where there are many folders, a refresh also takes the chunks of the smallest along.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from tidemark.operators.ranges import chunk_of
 CHUNK = "key_chunk"
 #: The chunk of rows without a key.
 NO_CHUNK = -(1 << 62)
-#: A refresh of a target with so many folders writes it anew in one.
-MOST_FOLDERS = 8
+#: A refresh of a target with so many folders frees the smallest of them.
+MOST_FOLDERS = 16
 #: So many touched chunks are listed in the plan, where they prune folders before the scan; more are joined.
 LISTED_CHUNKS = 1000
 
@@ -203,9 +203,17 @@ def publish_chunks(spark: SparkSession, name: str, path: str, touched: DataFrame
     _point(spark, name, schema, root, layout, folders, manifest)
 
 
-def crowded(spark: SparkSession, name: str) -> bool:
-    """Whether the target has so many folders that it should be written anew."""
-    return len(_folders(_properties(spark, name))) >= MOST_FOLDERS
+def with_smallest_folder(spark: SparkSession, name: str, touched: DataFrame) -> DataFrame:
+    """The touched chunks, and, where the target has `MOST_FOLDERS` folders, those of the folder that holds the fewest.
+
+    A refresh that writes them all frees that folder, so their number stays and the whole target is never written for it.
+    """
+    properties = _properties(spark, name)
+    if len(_folders(properties)) < MOST_FOLDERS:
+        return touched
+    held = spark.read.parquet(properties[_MANIFEST])
+    fewest = held.groupBy("folder").count().orderBy("count", "folder").first()["folder"]
+    return touched.union(held.filter(F.col("folder") == fewest).select("chunk")).distinct()
 
 
 def replace_target(df: DataFrame, name: str) -> None:
