@@ -21,7 +21,7 @@ from tidemark.operators.control import (
     resolve_modes,
 )
 from tidemark.operators.dedupe import drop_exact_duplicates, latest_per_key, require_unique_keys
-from tidemark.operators.evolve import add_columns, missing_fields
+from tidemark.operators.evolve import WIDEN, TypeRefused, add_columns, missing_fields, type_changes, widen_columns
 from tidemark.functions import days_before
 from tidemark.operators.ranges import LOOKBACK_DAYS, PAGE_ROWS, chunk_of, recent_window
 from tidemark.operators.presence import departed_keys, presence
@@ -338,11 +338,13 @@ def _until_in_place(step: Callable[[], Any]) -> Any:
 
 
 def refresh(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame, *, strict: bool = True) -> Result:
-    """Add and backfill newly declared columns, then upsert the rows changed in the recent window.
+    """Widen columns whose declared type has grown, add and backfill newly declared ones, then upsert the rows changed in the
+    recent window.
 
     If strict, as by default, one bad row fails the refresh; otherwise bad rows are rejected and the others merged.
     """
     ensure_target(run, config, fields)
+    widen(run, config, fields)
     filled = backfill(run, config, fields, source)
     staged = _stage(run, run.staged(config), _recent(run, config, fields, source))
     done = merge_staged(run, config, staged, strict=strict)
@@ -377,6 +379,30 @@ def full_load(
     return Result(config.table, "reload", read_target(run.spark, name).count(), rejected=rejected)
 
 
+def widen(run: Run, config: TableConfig, fields: Sequence[Field]) -> tuple[str, ...]:
+    """Write the target with wider types where the declared ones ask for it; the columns that were widened.
+
+    A stored type that holds all declared values stays. A change that could lose values raises `TypeRefused`, and so does one that
+    would move rows of a layout between chunks, other than to a longer integer; the target is then left as it was.
+    """
+    spark, name = run.spark, run.target(config)
+
+    def grow() -> tuple[str, ...]:
+        version, stored, layout = version_of(spark, name), read_target(spark, name), layout_of(spark, name)
+        changes = type_changes([f for f in fields if f.name.lower() != STAMP], stored.schema)
+        wider = widen_columns(stored, changes)
+        grown = [c for c in changes if c.action == WIDEN]
+        placed = {layout.key, *layout.more_keys} if layout else set()
+        moved = [c.name for c in grown if c.name in placed and not isinstance(c.to, T.IntegralType)]
+        if moved:
+            raise TypeRefused(f"{config.table}: chunks follow from the type of {moved}; reload the table")
+        if grown:
+            publish(spark, name, write_version(wider, name), wider.schema, version)
+        return tuple(c.name for c in grown)
+
+    return _until_in_place(grow)
+
+
 def backfill(run: Run, config: TableConfig, fields: Sequence[Field], source: DataFrame) -> Result:
     """Add declared columns the target lacks and set them, and only them, from the whole source.
 

@@ -26,7 +26,7 @@ from tidemark.operators import audit, columns, control, dedupe, evolve, presence
 from tidemark.operators.columns import Field, conform, declared_fields, declared_schema, fields_of
 from tidemark.plans import jobs, store
 from tidemark.plans.config import TableConfig
-from tidemark.sources import pages, sinks, tables
+from tidemark.sources import drift, pages, sinks, tables
 from tidemark.streaming import stream_refresh
 from tidemark.workspace import new_folder
 
@@ -990,3 +990,45 @@ def remove_departed(spark, sf):
     jobs.remove_departed(run, config, orders.filter("o_orderkey % 97 <> 11").select("o_orderkey"))
     jobs.close_run(run)
     return store.read_target(spark, run.target(config))
+
+
+@query(
+    f"""
+    SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(is_final AS VARCHAR) AS is_final) FROM ({_REFRESHED})
+    """
+)
+def refresh_widens_types(spark, sf):
+    """Columns declared as text after the first load become text; what they hold stays."""
+    orders = _read(spark, sf, "orders")
+    config, run = TableConfig("orders", ("o_orderkey",), "o_orderdate"), _run(spark)
+    jobs.full_load(run, config, ORDER_FIELDS, _order_text(_seen_orders(orders)))
+    fields = [replace(f, type="STRING") if f.name in ("o_custkey", "is_final") else f for f in ORDER_FIELDS]
+    later = _order_text(_priced(orders, 2)).withColumn("is_final", F.when(F.col("is_final") == "T", "true").otherwise("false"))
+    jobs.refresh(_later(run, lookback_days=60), config, fields, later)
+    jobs.close_run(run)
+    return store.read_target(spark, run.target(config))
+
+
+@query(
+    """
+    SELECT 'note' AS name, 'undeclared' AS drift, 'STRING' AS seen, COUNT(*) AS n_cells FROM events WHERE event_id % 5 = 0 HAVING COUNT(*) > 0
+    UNION ALL SELECT 'value', 'conflict', 'OBJECT', COUNT(*) FROM events WHERE event_id % 11 = 0 HAVING COUNT(*) > 0
+    UNION ALL SELECT 'user_id', 'conflict', 'BOOLEAN', COUNT(*) FROM events WHERE event_id % 13 = 0 HAVING COUNT(*) > 0
+    UNION ALL SELECT 'ts', 'absent', NULL, 0
+    """
+)
+def page_drift(spark, sf):
+    def is_(remainder: str) -> Column:
+        return F.expr(f"event_id % {remainder}")
+
+    def item(user: Column, value: Column) -> Column:
+        note = F.when(is_("5 = 0"), F.lit("new")).alias("note")
+        return F.to_json(F.struct("event_id", "event_type", note, user.alias("user_id"), value.alias("value")))
+
+    odd_user, odd_value = F.lit(True), F.struct(F.lit(1).alias("amount"))
+    user, value = F.col("user_id"), F.col("value")
+    both = F.when(is_("13 = 0") & is_("11 = 0"), item(odd_user, odd_value)).when(is_("13 = 0"), item(odd_user, value))
+    landed = new_folder(spark, "landed")
+    texts = _read(spark, sf, "events").select(both.when(is_("11 = 0"), item(user, odd_value)).otherwise(item(user, value)).alias("item"))
+    texts.select(F.concat(F.lit('{"items":['), "item", F.lit("]}")).alias("value")).write.text(landed)
+    return drift.page_drift(spark, landed, EVENT_FIELDS)
