@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -69,6 +70,63 @@ def test_single_merges_give_the_same_ids(encoding):
         assert byte_bpe.one_by_one(word.encode(), bpe) == encoding.encode_ordinary(word)
 
 
+def most_held(function, *args):
+    """Bytes that the call holds at most, and what it returns."""
+    tracemalloc.start()
+    try:
+        out = function(*args)
+        return tracemalloc.get_traced_memory()[1], out
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_replay_holds_little_for_each_byte(encoding):
+    bpe = byte_bpe.load_byte_bpe(BYTES, public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    words = list({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 12))) for _ in range(80_000)})
+    given = [w.encode() for w in words]
+    held, ids = most_held(lambda: byte_bpe.Replay(given, bpe).run())
+    assert held < 50 * sum(map(len, given))
+    assert [np.frombuffer(i, np.int32).tolist() for i in ids[:500]] == [encoding.encode_ordinary(w) for w in words[:500]]
+
+
+def test_first_pairs_are_entered_by_blocks(encoding, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "ENTERED", 7)
+    encoder = byte_bpe.Encoder(byte_bpe.load_byte_bpe(BYTES, public_tokenizers.PATTERN))
+    got = [np.frombuffer(x, np.int32).tolist() for x in encoder.encode(texts(200))]
+    assert got == [encoding.encode_ordinary(t) for t in texts(200)]
+
+
+def test_decoding_holds_little_for_each_byte(monkeypatch):
+    flat, starts = byte_bpe._token_bytes(byte_bpe.load_byte_bpe(BYTES, public_tokenizers.PATTERN))
+    ids = np.random.default_rng(5).integers(0, len(starts) - 1, 1_000_000)
+    ids = ids[np.diff(starts)[ids] > 0].astype(np.int32)
+    ends = np.array([0, 0, 7, len(ids) // 2, len(ids) // 2, len(ids)])
+    held, (content, row_ends) = most_held(byte_bpe.decode_arrays, ids, ends, flat, starts)
+    assert held < 10 * len(content)
+    tokens = [flat[starts[i] : starts[i + 1]] for i in ids.tolist()]
+    assert content.tobytes() == b"".join(t.tobytes() for t in tokens)
+    assert row_ends.tolist() == np.r_[0, np.cumsum([len(t) for t in tokens])][ends].tolist()
+    monkeypatch.setattr(byte_bpe, "DECODED", 3)
+    few, few_ends = byte_bpe.decode_arrays(ids[:10], np.array([0, 4, 10]), flat, starts)
+    assert few.tobytes() == b"".join(t.tobytes() for t in tokens[:10]) and few_ends[-1] == len(few)
+
+
+def test_of_a_full_memory_what_is_met_again_is_not_replayed(monkeypatch):
+    replayed = []
+
+    class Counted(byte_bpe.Replay):
+        def __init__(self, words, bpe):
+            replayed.append(set(words))
+            super().__init__(words, bpe)
+
+    monkeypatch.setattr(byte_bpe, "Replay", Counted)
+    encoder = byte_bpe.Encoder(byte_bpe.load_byte_bpe(BYTES, public_tokenizers.PATTERN), most=4)
+    first = encoder.encode(["one two three"])[0]
+    assert encoder.encode(["one two three four five six"])[0].startswith(first)
+    assert replayed == [{b"one", b" two", b" three"}, {b" four", b" five", b" six"}]
+
+
 def test_encode_and_decode_odd_rows(spark, frame, odd_rows, encoding):
     got = encoded_digests(frame(odd_rows)).collect()
     wanted = []

@@ -22,13 +22,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.batches import bounded_batches, gathered, give_back, text_bytes
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 MOST_REMEMBERED = 200_000
 DECODE_ROWS = 256
+#: Positions whose first pairs are looked up at once, and ids that are decoded at once: what such a step holds is bounded.
+ENTERED = 1 << 18
+DECODED = 1 << 16
 #: Up to so many positions of one merge are cheaper one by one than as arrays.
 FEW = 6
 
-NO_RANK = np.iinfo(np.int64).max
+NO_RANK = np.iinfo(np.int32).max
 
 # The code points with the Unicode property White_Space.
 _WHITE = (
@@ -64,8 +67,8 @@ def load_byte_bpe(path: str, pattern: str) -> ByteBpe:
     }
     keys = np.fromiter(pairs, np.int64, len(pairs))
     order = np.argsort(keys)
-    ranks = np.fromiter(pairs.values(), np.int64, len(pairs))[order]
-    first = np.array([rank[bytes([b])] for b in range(256)], np.int64)
+    ranks = np.fromiter(pairs.values(), np.int32, len(pairs))[order]
+    first = np.array([rank[bytes([b])] for b in range(256)], np.int32)
     return ByteBpe(pattern, {r: t for t, r in rank.items()}, first, keys[order], ranks, width)
 
 
@@ -78,9 +81,10 @@ class Replay:
         self.ends = np.cumsum(lengths)
         n = int(self.ends[-1])
         self.symbol = bpe.first[np.frombuffer(b"".join(words), np.uint8)]
-        self.after = np.arange(1, n + 1)
+        kind = np.int32 if n < 2**31 else np.int64
+        self.after = np.arange(1, n + 1, dtype=kind)
         self.after[self.ends - 1] = -1
-        self.before = np.arange(-1, n - 1)
+        self.before = np.arange(-1, n - 1, dtype=kind)
         self.before[self.ends - lengths] = -1
         self.index: dict[int, list[np.ndarray]] = {}
         self.due: list[int] = []
@@ -88,8 +92,9 @@ class Replay:
 
     def run(self) -> list[bytes]:
         """The ids of each word, as the bytes of 32-bit integers."""
-        if len(self.symbol) > 1:
-            self._enter(np.arange(len(self.symbol) - 1), -1)
+        last = len(self.symbol) - 1
+        for at in range(0, last, ENTERED):
+            self._enter(np.arange(at, min(at + ENTERED, last), dtype=self.after.dtype), -1)
         while self.due:
             rank = heapq.heappop(self.due)
             at = self.index.pop(rank)
@@ -104,7 +109,7 @@ class Replay:
 
     def _ranks(self, at: np.ndarray) -> np.ndarray:
         """Rank of the pair at each position whose symbol has one after it."""
-        keys = self.symbol[at] * self.bpe.width + self.symbol[self.after[at]]
+        keys = self.symbol[at] * np.int64(self.bpe.width) + self.symbol[self.after[at]]
         found = np.minimum(np.searchsorted(self.bpe.keys, keys), len(self.bpe.keys) - 1)
         return np.where(self.bpe.keys[found] == keys, self.bpe.ranks[found], NO_RANK)
 
@@ -163,7 +168,7 @@ class Replay:
             if p != used:
                 taken.append(p)
                 used = q
-        return np.array(taken, np.int64)
+        return np.array(taken, at.dtype)
 
 
 def one_by_one(word: bytes, bpe: ByteBpe) -> list[int]:
@@ -210,9 +215,6 @@ class Encoder:
         ]
         parts = list({w for ws in split for w in ws})
         ids = Replay([*(b" " + p.encode() for p in simple), *(w.encode() for w in parts)], self.bpe).run()
-        if len(self.plain) + len(self.spaced) + len(simple) + len(others) > self.most:
-            self.plain.clear()
-            self.spaced.clear()
         self.spaced.update(zip(simple, ids))
         known = dict(zip(parts, ids[len(simple) :]))
         joined = [b"".join([known[w] for w in ws]) for ws in split]
@@ -226,11 +228,15 @@ class Encoder:
             a, b = self.cut(t)
             plain.update(a)
             spaced.update(b)
-        new = plain - self.plain.keys(), spaced - self.spaced.keys()
-        if len(self.plain) + len(self.spaced) + len(new[0]) + len(new[1]) > self.most:
-            new = plain, spaced
-        if new[0] or new[1]:
-            self.learn(*new)
+        unseen = sum(p not in self.plain for p in plain) + sum(p not in self.spaced for p in spaced)
+        if len(self.plain) + len(self.spaced) + unseen > self.most:
+            # Before others are learnt, those go that these texts do not have.
+            self.plain = {p: self.plain[p] for p in plain if p in self.plain}
+            self.spaced = {p: self.spaced[p] for p in spaced if p in self.spaced}
+        plain.difference_update(self.plain)
+        spaced.difference_update(self.spaced)
+        if plain or spaced:
+            self.learn(plain, spaced)
         out = []
         for t in texts:
             a, b = self.cut(t)
@@ -313,11 +319,19 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str = "doc
 
 def decode_arrays(ids: np.ndarray, ends: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of ids, one behind the other, and where each row's end; `starts` has the place of each token in `flat`."""
-    lengths = np.diff(starts)[ids]
-    until = np.cumsum(lengths)
-    total = int(until[-1]) if len(until) else 0
-    places = np.repeat(starts[ids] - until + lengths, lengths) + np.arange(total)
-    return flat[places], np.r_[0, until][ends]
+    lengths = np.diff(starts)[ids].astype(np.int32)
+    until = np.cumsum(lengths, dtype=np.int64)
+    content = np.empty(int(until[-1]) if len(until) else 0, np.uint8)
+    for at in range(0, len(ids), DECODED):
+        part, n = until[at : at + DECODED], lengths[at : at + DECODED]
+        first, last = int(until[at - 1]) if at else 0, int(part[-1])
+        places = np.repeat(starts[ids[at : at + DECODED]] - part + n, n)
+        places += np.arange(first, last)
+        content[first:last] = flat[places]
+    row_ends = np.zeros(len(ends), np.int64)
+    some = ends > 0
+    row_ends[some] = until[ends[some] - 1]
+    return content, row_ends
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str, *, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
